@@ -53,9 +53,11 @@ def _split(active: DataFrame, work: Workspace, until: int) -> tuple[DataFrame, i
         .filter("size > 1").drop("size"),
         "groups",
     )
-    size = groups.agg(F.count("*").alias("n"), F.max(F.octet_length("digit")).alias("w")).first()
-    hit = active.withColumn("ended", ended).join(sized(groups, size["n"], (size["w"] or 0) + 64), ["gid", "digit", "ended"])
-    return hit.drop("gid", "digit").withColumnRenamed("next", "gid"), size["n"]
+    n = groups.count()
+    # later digits are as wide as the texts: there, a join that shuffles at every size
+    side = sized(groups, n, FIRST + 64) if until == FIRST else groups
+    hit = active.withColumn("ended", ended).join(side, ["gid", "digit", "ended"])
+    return hit.drop("gid", "digit").withColumnRenamed("next", "gid"), n
 
 
 def exact_groups(rows: DataFrame, work: Workspace) -> DataFrame:
