@@ -20,7 +20,6 @@ table gives an empty result; extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 from math import comb
 
 import numpy as np
@@ -205,11 +204,9 @@ def links(prints: DataFrame, work: Workspace, limit: int = 3) -> DataFrame:
     return found.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
 
 
-def simhash_groups(docs: DataFrame, work: Workspace, text: str = "text", doc_id: str = "doc_id", limit: int = 3, rid: str | None = None) -> DataFrame:
+def simhash_groups(docs: DataFrame, work: Workspace, text: str = "text", doc_id: str = "doc_id", limit: int = 3) -> DataFrame:
     """One row per input row: rid, doc_id, fp, component_id (smallest id reachable), keep_rid (its row), saved."""
-    (key,) = [rid] if rid else free_name(docs, "rid")
-    picked = (docs if rid else docs.withColumn(key, F.monotonically_increasing_id())).select(
-        F.col(key).alias("rid"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    picked = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows = work.save(with_fingerprints(picked, "text").drop("text"), "fingerprints")
     order = F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col("rid").alias("c"))
     prints = work.save(rows.groupBy("fp").agg(F.min(order).alias("first")), "distinct")
@@ -220,20 +217,68 @@ def simhash_groups(docs: DataFrame, work: Workspace, text: str = "text", doc_id:
     return work.save(rows.join(sized(of, of.count(), 48), "fp"), "grouped")
 
 
-def drop_near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", limit: int = 3) -> DataFrame:
-    """docs with one row of each component: the one with the smallest id; columns as they were."""
+def shingle_hashes(text: bytes | None, words: int) -> np.ndarray:
+    """Sorted distinct hashes of the text's word shingles (fewer words: the whole sequence; none: no shingle)."""
+    parts = (text or b"").lower().split()
+    if not parts:
+        return np.zeros(0, np.uint64)
+    return np.unique(np.fromiter((xxhash.xxh64_intdigest(b" ".join(parts[k : k + words])) for k in range(max(1, len(parts) - words + 1))), np.uint64))
+
+
+def _similar(edges: DataFrame, docs: DataFrame, work: Workspace, words: int, similarity: float) -> DataFrame:
+    """The edges (u, v) between rows rid of docs (rid, text) whose shingle sets have that Jaccard similarity."""
+    ends = work.save(edges.select(F.col("u").alias("rid")).union(edges.select(F.col("v").alias("rid"))).distinct(), "ends")
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingle_hashes(t.as_py(), words).tobytes() for t in batch.column(1).cast(pa.binary())], pa.binary())], names=["rid", "shingles"])
+
+    sets = work.save(docs.select("rid", "text").join(sized(ends, ends.count(), 16), "rid").mapInArrow(shingles, "rid long, shingles binary"), "shingles")
+    both = edges.join(sets.select(F.col("rid").alias("u"), F.col("shingles").alias("a")), "u").join(sets.select(F.col("rid").alias("v"), F.col("shingles").alias("b")), "v")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = []
+            for a, b in zip(batch.column(2), batch.column(3)):
+                x, y = np.frombuffer(a.as_py(), np.uint64), np.frombuffer(b.as_py(), np.uint64)
+                shared = np.intersect1d(x, y, assume_unique=True).size
+                near.append(x.size + y.size == 0 or shared >= similarity * (x.size + y.size - shared))
+            yield batch.select([0, 1]).filter(pa.array(near, pa.bool_()))
+
+    return both.select("u", "v", "a", "b").mapInArrow(verify, "u long, v long")
+
+
+def near_copy_groups(docs: DataFrame, work: Workspace, text: str = "text", doc_id: str = "doc_id", rid: str = "rid", limit: int = 7, words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """(rid, keep_rid) of every row of docs in a group of near copies; keep_rid is the row of smallest id.
+
+    Candidates come from fingerprints within limit bits; each candidate link between two rows counts only if the Jaccard
+    similarity of their sets of `words`-word shingles reaches `similarity`. Rows of one fingerprint link to its first row.
+    Empty texts share no shingle but are alike: they are one group.
+    """
+    picked = docs.select(F.col(rid).alias("rid"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    rows = work.save(with_fingerprints(picked, "text").drop("text"), "fingerprints")
+    order = F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col("rid").alias("c"))
+    firsts = work.save(rows.groupBy("fp").agg(F.min(order)["c"].alias("first")), "distinct")
+    n = firsts.count()
+    of = lambda side: sized(firsts.select(F.col("fp").alias(side), F.col("first").alias(f"{side}_row")), n, 24)
+    far = links(firsts, work, limit).distinct().join(of("u"), "u").join(of("v"), "v").select(F.col("u_row").alias("u"), F.col("v_row").alias("v"))
+    own = rows.join(sized(firsts, n, 24), "fp").filter("rid <> first").select(F.col("first").alias("u"), F.col("rid").alias("v"))
+    edges = work.save(far.union(own), "candidates")
+    roots = work.save(components(_similar(edges, picked, work, words, similarity), work), "roots")
+    grouped = rows.select("rid", "doc_id").join(sized(roots, roots.count(), 24), F.col("rid") == F.col("node"))
+    best = grouped.groupBy("root").agg(F.min(order)["c"].alias("keep_rid"))
+    return work.save(grouped.select("rid", "root").join(best, "root").select("rid", "keep_rid"), "groups")
+
+
+def drop_near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", limit: int = 7, words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """docs with one row of each group of near copies, the one of smallest id; columns as they were."""
     work = Workspace(docs.sparkSession, "simhash-rows")
     (rid,) = free_name(docs, "row_number")
     held = work.save(docs.withColumn(rid, F.monotonically_increasing_id()), "held")
-    groups = simhash_groups(held, work, text, doc_id, limit, rid)
+    groups = near_copy_groups(held, work, text, doc_id, rid, limit, words, similarity)
     gone = work.save(groups.filter("rid <> keep_rid").select(F.col("rid").alias(rid)), "gone")
     return held.join(sized(gone, gone.count(), 16), rid, "left_anti").drop(rid)
 
 
 def hexadecimal(fp: str = "fp"):
     return F.lower(F.lpad(F.hex(F.col(fp)), 16, "0"))
-
-
-def pairs_within(values: list[int], limit: int) -> list[tuple[int, int]]:
-    """All pairs within limit bits: the plain definition, for small inputs and tests."""
-    return reduce(lambda out, i: out + [(values[i], y) for y in values[i + 1 :] if (values[i] ^ y).bit_count() <= limit], range(len(values)), [])
