@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chunk_dedup, exact_dedup, packing, quality, simhash, suffix_dedup
+from . import bpe, chunk_dedup, embedding_dedup, exact_dedup, packing, quality, simhash, suffix_dedup
 from .storage import Workspace
 
 
@@ -41,6 +41,27 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "weight", "key", "kept")
 
 
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.embedding_groups(table(spark, sf_dir, "embeddings"))
+
+
+OP8_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+), ok AS (
+  SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(e) > 0
+    AND len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS u, b.vec_id AS v FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+), reach(u, v) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT r.u, l.v FROM reach r JOIN links l ON r.v = l.u
+), n AS (SELECT u, count(*) AS n FROM links GROUP BY u)
+SELECT e.vec_id, coalesce(any_value(n.n), 0) AS n_links, min(r.v) AS component_id, e.vec_id = min(r.v) AS kept
+FROM embeddings e JOIN reach r ON r.u = e.vec_id LEFT JOIN n ON n.u = e.vec_id GROUP BY e.vec_id
+"""
+
+
 def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 

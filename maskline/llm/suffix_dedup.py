@@ -33,7 +33,9 @@ from .storage import Workspace, partitions
 
 LENGTH, GRAM = 50, 24
 #: Bytes of text per shard and per hash range, bytes of a suffix-sorted group, and windows hashed at once.
-SHARD, RANGE, GROUP, STEP = 16 << 20, 8 << 20, 2 << 20, 1 << 20
+SHARD, RANGE, GROUP, STEP = 8 << 20, 2 << 20, 2 << 20, 1 << 19
+#: Most buckets that a table may have; beyond that shards and ranges grow with the input.
+MOST_SHARDS = 100_000
 #: Documents with one anchor beyond which its windows are dealt one by one.
 HOT = 1024
 #: An anchor entry is 6 bytes: 45 bits of hash over 3 bits that tell in how many documents of the shard it is.
@@ -228,29 +230,27 @@ def least_ids(stretches: bytes, sizes: np.ndarray, ids: np.ndarray) -> tuple[np.
         new[:1] = True
         heads = np.flatnonzero(new)
         lowest = np.minimum.reduceat(ids[lo:hi][stretch[order]], heads)
-        text = np.empty((len(heads), LENGTH + 1), np.uint8)
-        text[:, :LENGTH] = np.lib.stride_tricks.sliding_window_view(data, LENGTH)[order[heads]]
-        text[:, LENGTH] = 1  # else trailing zero bytes would not count
-        keys = text.reshape(-1).view(f"S{LENGTH + 1}")
-        if merged is None:
+        keys = None
+        if len(cuts) > 2:
+            text = np.empty((len(heads), LENGTH + 1), np.uint8)
+            text[:, :LENGTH] = np.lib.stride_tricks.sliding_window_view(data, LENGTH)[order[heads]]
+            text[:, LENGTH] = 1  # else trailing zero bytes would not count
+            keys = text.reshape(-1).view(f"S{LENGTH + 1}")
+        if least is None:
             merged, least = keys, lowest
         else:
             spot = np.searchsorted(merged, keys)
             known = merged[np.minimum(spot, len(merged) - 1)] == keys
             np.minimum.at(least, spot[known], lowest[known])
             merged, least = np.insert(merged, spot[~known], keys[~known]), np.insert(least, spot[~known], lowest[~known])
-        groups.append((lo, stretch[order], order - firsts[stretch[order]], np.cumsum(new) - 1, keys))
-    if merged is None:
+        at = stretch[order]
+        groups.append((lo, at.astype(np.int32), (order - firsts[at]).astype(np.int32), (np.cumsum(new) - 1).astype(np.int32), keys))
+    if least is None:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    single = len(groups) == 1
-    out = [(lo + s, p, (least if single else least[np.searchsorted(merged, keys)])[c]) for lo, s, p, c, keys in groups]
+    out = [(lo + s, p, (least if keys is None else least[np.searchsorted(merged, keys)])[c]) for lo, s, p, c, keys in groups]
     return tuple(np.concatenate(c) for c in zip(*out))
 
 
-def _table(**columns) -> pa.Table:
-    return pa.table(columns)
-
-
 def _blobs(rows: list[tuple], schema: pa.Schema) -> pa.Table:
     return pa.Table.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(schema)], schema=schema)
 
@@ -260,8 +260,8 @@ def covered(docs: DataFrame, work: Workspace, text: str = "text", doc_id: str =
     spark = docs.sparkSession
     plain = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("raw"))
     total = plain.agg(F.sum(F.octet_length("raw").cast("long")).alias("n")).first()["n"] or 0
-    shards = max(partitions(spark), -(-total // SHARD))
-    ranges = max(partitions(spark), -(-total // RANGE))
+    shards = min(MOST_SHARDS, max(partitions(spark), -(-total // SHARD)))
+    ranges = min(MOST_SHARDS, max(partitions(spark), -(-total // RANGE)))
 
     def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=1).compress
@@ -425,11 +425,11 @@ def covered(docs: DataFrame, work: Workspace, text: str = "text", doc_id: str =
             removed.append(e - s - len(left))
             spans.append([{"a": x - s, "b": y - s} for x, y in cut])
             digests.append(hashlib.sha256(left).hexdigest())
-        return _table(
+        return pa.table(dict(
             rid=pa.array(own.rid), doc_id=own.doc_id, n_bytes=pa.array(own.ends - own.starts), n_removed=pa.array(removed, pa.int64()),
             n_spans=pa.array([len(s) for s in spans], pa.int64()), kept_sha256=pa.array(digests, pa.string()), kept=pa.array(kept, pa.binary()),
             spans=pa.array(spans, pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))),
-        )
+        ))
 
     return texts.groupBy("shard").cogroup(notes.groupBy("shard")).applyInArrow(
         finish, f"rid long, doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, spans {span}")
