@@ -105,7 +105,9 @@ class Shard:
         """(first, windows, hash of ENTRY_BITS, document) of all runs."""
         parts = list(anchor_runs(self.data, self.ends)) or [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))]
         first, count, hashes = (np.concatenate(c) for c in zip(*parts))
-        return first, count, hashes >> np.uint64(64 - ENTRY_BITS), np.searchsorted(self.ends, first, "right")
+        # least hashes are small: mixed again, they spread evenly over the ranges
+        mixed = (hashes ^ (hashes >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+        return first, count, mixed >> np.uint64(64 - ENTRY_BITS), np.searchsorted(self.ends, first, "right")
 
 
 def _entries(hashes: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -305,7 +307,7 @@ def covered(docs: DataFrame, work: Workspace, text: str = "text", doc_id: str =
     marks = texts.groupBy("shard").applyInArrow(anchors, "range int, shard int, entries binary")
     marks = work.save(marks.groupBy("range").applyInArrow(repeated, "shard int, range int, often binary, hot binary"), "marks")
 
-    out_schema = pa.schema([("kind", pa.int32()), ("range", pa.int32()), ("shard", pa.int32()), ("body", pa.binary()), ("sizes", pa.binary()), ("ids", pa.binary()), ("numbers", pa.binary())])
+    out_schema = pa.schema([("kind", pa.int32()), ("range", pa.int32()), ("shard", pa.int32()), ("body", pa.binary()), ("sizes", pa.binary()), ("ids", pa.binary()), ("numbers", pa.binary()), ("anchors", pa.binary())])
 
     def stretches(group: pa.Table, answers: pa.Table) -> pa.Table:
         if not group.num_rows or not answers.num_rows:
@@ -341,12 +343,13 @@ def covered(docs: DataFrame, work: Workspace, text: str = "text", doc_id: str =
         high = np.full(len(known), -(2**63), np.int64)
         np.maximum.at(high, number_of, own.order[doc_])
         bodies = list(known)
-        where = np.full(len(known), -1, np.int64)
-        where[number_of[:n_whole]] = _range_of(whole_hash, ranges)
-        alone = np.flatnonzero(where < 0)
-        if len(alone):
-            digest = xxhash.xxh3_64_intdigest
-            where[alone] = _range_of(np.fromiter((digest(bodies[k]) for k in alone.tolist()), np.uint64, len(alone)) >> np.uint64(64 - ENTRY_BITS), ranges)
+        key, alone = np.zeros(len(known), np.uint64), np.ones(len(known), bool)
+        key[number_of[:n_whole]] = whole_hash
+        alone[number_of[:n_whole]] = False
+        alone = np.flatnonzero(alone)
+        digest = xxhash.xxh3_64_intdigest
+        key[alone] = np.fromiter((digest(bodies[k]) for k in alone.tolist()), np.uint64, len(alone)) >> np.uint64(64 - ENTRY_BITS)
+        where = _range_of(key, ranges)
         press = zstandard.ZstdCompressor(level=1).compress
         order = np.argsort(where, kind="stable")
         edges = np.searchsorted(where[order], np.arange(ranges + 1))
@@ -355,12 +358,12 @@ def covered(docs: DataFrame, work: Workspace, text: str = "text", doc_id: str =
             pick = order[edges[r] : edges[r + 1]]
             if len(pick):
                 rows.append((0, r, number, press(b"".join([bodies[k] for k in pick.tolist()])), np.array([len(bodies[k]) for k in pick.tolist()], "<u2").tobytes(),
-                             np.stack([low[pick], high[pick]]).astype("<i8").tobytes(), pick.astype("<i4").tobytes()))
+                             np.stack([low[pick], high[pick]]).astype("<i8").tobytes(), pick.astype("<i4").tobytes(), key[pick].astype("<u8").tobytes()))
         spots = np.stack([doc_, first_ - own.starts[doc_], number_of]).astype("<i8")
-        rows.append((1, -1, number, press(spots.tobytes()), None, None, None))
+        rows.append((1, -1, number, press(spots.tobytes()), None, None, None, None))
         return _blobs(rows, out_schema)
 
-    sent = work.save(texts.groupBy("shard").cogroup(marks.groupBy("shard")).applyInArrow(stretches, "kind int, range int, shard int, body binary, sizes binary, ids binary, numbers binary"), "stretches")
+    sent = work.save(texts.groupBy("shard").cogroup(marks.groupBy("shard")).applyInArrow(stretches, "kind int, range int, shard int, body binary, sizes binary, ids binary, numbers binary, anchors binary"), "stretches")
     work.drop(marks)
 
     def earlier(group: pa.Table) -> pa.Table:
@@ -370,17 +373,36 @@ def covered(docs: DataFrame, work: Workspace, text: str = "text", doc_id: str =
         ids = np.concatenate([np.frombuffer(b, "<i8").reshape(2, -1) for b in group.column("ids").to_pylist()], axis=1)
         numbers = [np.frombuffer(b, "<i4") for b in group.column("numbers").to_pylist()]
         shard = np.repeat(np.array(group.column("shard").to_pylist()), [len(s) for s in sizes])
-        stretch, place, least = least_ids(body, np.concatenate(sizes).astype(np.int64), ids[0])
-        useful = least < ids[1][stretch]  # some document of that shard comes later than the first that has the window
-        stretch, place, least = stretch[useful], place[useful], least[useful]
+        sizes = np.concatenate(sizes).astype(np.int64)
+        ends = np.cumsum(sizes)
+        known: dict[bytes, int] = {}
+        kind = np.fromiter((known.setdefault(body[b - n : b], len(known)) for b, n in zip(ends.tolist(), sizes.tolist())), np.int64, len(sizes))
+        low, anchor, size = np.full(len(known), NO_ID, np.int64), np.zeros(len(known), np.uint64), np.zeros(len(known), np.int64)
+        np.minimum.at(low, kind, ids[0])
+        anchor[kind] = np.concatenate([np.frombuffer(b, "<u8") for b in group.column("anchors").to_pylist()])
+        size[kind] = sizes
+        # windows of an anchor with one stretch only are in no other stretch
+        _, family, members = np.unique(anchor, return_inverse=True, return_counts=True)
+        lone = np.flatnonzero(members[family] == 1)
+        more = np.flatnonzero(members[family] > 1)
+        bodies = list(known)
+        stretch, place, least = least_ids(b"".join([bodies[k] for k in more.tolist()]), size[more], low[more])
         order = np.lexsort((place, stretch))
-        stretch, place, least = stretch[order], place[order], least[order]
+        stretch, place, least = more[stretch[order]], place[order].astype(np.int64), least[order]
         new = np.ones(len(stretch), bool)
         new[1:] = (stretch[1:] != stretch[:-1]) | (place[1:] != place[:-1] + 1) | (least[1:] != least[:-1])
         heads = np.flatnonzero(new)
         last = np.append(heads[1:], len(stretch))
-        runs = np.stack([np.concatenate(numbers)[stretch[heads]], place[heads], place[heads] + last - heads, least[heads]]).astype("<i8") if len(heads) else np.zeros((4, 0), "<i8")
-        owner = shard[stretch[heads]]
+        table = np.concatenate([np.stack([stretch[heads], place[heads], place[heads] + last - heads, least[heads]]), np.stack([lone, np.zeros_like(lone), size[lone] - LENGTH + 1, low[lone]])], axis=1)
+        table = table[:, np.argsort(table[0], kind="stable")]
+        lo, hi = np.searchsorted(table[0], kind, "left"), np.searchsorted(table[0], kind, "right")
+        times = hi - lo
+        pick = np.repeat(lo, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        sent_as = np.repeat(np.arange(len(kind)), times)
+        useful = table[3][pick] < ids[1][sent_as]  # some document of that shard comes after the first that has the windows
+        pick, sent_as = pick[useful], sent_as[useful]
+        runs = np.concatenate([np.concatenate(numbers).astype(np.int64)[sent_as][None, :], table[1:, pick]]).astype("<i8")
+        owner = shard[sent_as]
         order = np.argsort(owner, kind="stable")
         names, at = np.unique(owner[order], return_index=True)
         press = zstandard.ZstdCompressor(level=1).compress
