@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chunk_dedup, embedding_dedup, exact_dedup, packing, quality, simhash, suffix_dedup
+from . import bpe, chunk_dedup, embedding_dedup, exact_dedup, line_dedup, packing, quality, simhash, suffix_dedup
 from .storage import Workspace
 
 
@@ -41,6 +41,32 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "weight", "key", "kept")
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: digest of its text without later copies of runs of two or more lines, and what was cut."""
+    found = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+OP7_SQL = """
+WITH l AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents
+), w AS (
+  SELECT *, lead(line) OVER (PARTITION BY doc_id ORDER BY pos) AS onward FROM l
+), later AS (
+  SELECT doc_id, pos FROM (SELECT *, row_number() OVER (PARTITION BY line, onward ORDER BY doc_id, pos) AS k FROM w WHERE onward IS NOT NULL) WHERE k > 1
+), gone AS (
+  SELECT DISTINCT doc_id, unnest([pos, pos + 1]) AS pos FROM later
+), marked AS (
+  SELECT l.*, g.pos IS NOT NULL AS cut FROM l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.pos = g.pos
+), runs AS (
+  SELECT *, cut AND NOT coalesce(lag(cut) OVER (PARTITION BY doc_id ORDER BY pos), false) AS starts FROM marked
+)
+SELECT doc_id, count(*) AS n_lines, count_if(cut) AS n_removed, count_if(starts) AS n_runs,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT cut), '')) AS kept_sha256
+FROM runs GROUP BY doc_id
+"""
+
+
 def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.embedding_groups(table(spark, sf_dir, "embeddings"))
 
