@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chunk_dedup, embedding_dedup, exact_dedup, line_dedup, packing, quality, simhash, suffix_dedup
+from . import bpe, chunk_dedup, embedding_dedup, exact_dedup, line_dedup, packing, quality, simhash, suffix_dedup, toxicity
 from .storage import Workspace
 
 
@@ -31,6 +31,10 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "text", F.col("removed_bytes").alias("n_removed"), F.size("removed_spans").cast("long").alias("n_spans"), F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
