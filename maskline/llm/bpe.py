@@ -14,6 +14,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -110,11 +111,17 @@ class ByteBPE:
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
+@lru_cache(1)
+def coder_for(path: str, pattern: str) -> ByteBPE:
+    """One coder per Python worker, kept over its tasks."""
+    return ByteBPE(path, pattern)
+
+
 def encode_documents(docs: DataFrame, path: str, pattern: str, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per document: doc_id, ids array<int>."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = ByteBPE(path, pattern)
+        coder = coder_for(path, pattern)
         for batch in batches:
             ids = [np.fromiter(coder.encode(t.as_py() or ""), np.int32) for t in batch.column(1)]
             ends = np.cumsum([0, *map(len, ids)])
@@ -140,7 +147,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, text: str = "text", doc
     """Per document: doc_id, n_tokens, digest of its ids, and digest of the bytes they decode to, in one pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = ByteBPE(path, pattern)
+        coder = coder_for(path, pattern)
         decimal = list(map(str, range(len(coder.tokens))))
         for batch in batches:
             n, ids_sha, text_sha = [], [], []

@@ -16,6 +16,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from itertools import islice
 
 import numpy as np
@@ -31,7 +32,7 @@ SEQUENCE, END_ID = 4096, 1
 #: Open bins of a partition, and pieces that a partition packs: enough that bins left open at its end hardly count.
 OPEN, PER_PARTITION = 1024, 25_000
 #: Words of a generation kept with their ids in a Python worker (two generations at most), and the longest word kept.
-CACHE_WORDS, LONGEST_WORD = 400_000, 48
+CACHE_WORDS, LONGEST_WORD = 600_000, 48
 
 #: Marks that are a token of their own after letters.
 MARKS = frozenset(".,!?;:|")
@@ -127,11 +128,17 @@ class WordEncoder:
         return next(self.encode_all([text]))
 
 
+@lru_cache(1)
+def encoder_for(path: str) -> WordEncoder:
+    """One encoder per Python worker, kept over its tasks."""
+    return WordEncoder(path)
+
+
 def pieces(docs: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id", length: int = SEQUENCE, end_id: int = END_ID) -> DataFrame:
     """(row, doc_id, piece, start, length, ids_crc32), a row per piece; row numbers the documents."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end, width = WordEncoder(path), int(end_id).to_bytes(4, "little"), 4 * length
+        encoder, end, width = encoder_for(path), int(end_id).to_bytes(4, "little"), 4 * length
         for batch in batches:
             at, number, start, size, crc = [], [], [], [], []
             for k, ids in enumerate(encoder.encode_all(value.as_py() or "" for value in batch.column(2))):

@@ -22,6 +22,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -70,6 +71,12 @@ class Features:
         return (mixed >> np.uint64(48)).astype(np.int64) % BUCKETS
 
 
+@lru_cache(1)
+def features_of_worker() -> Features:
+    """One store of tokens per Python worker, kept over its tasks."""
+    return Features()
+
+
 def log_ratio(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
     """Per bucket, log of the smoothed target share over the smoothed raw share."""
     p = (target + SMOOTHING) / (target.sum() + SMOOTHING * len(target))
@@ -93,7 +100,7 @@ def fit(rows: DataFrame) -> np.ndarray:
     """Log ratios per bucket from (text, label). At most BUCKETS sums reach the driver."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features, target, raw = Features(), np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+        features, target, raw = features_of_worker(), np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
         for batch in batches:
             for text, label in zip(batch.column(0), batch.column(1).to_pylist()):
                 found = features(text.as_py())
@@ -154,7 +161,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, work: Workspace, text: st
     ratio = fit(rows)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = Features()
+        features = features_of_worker()
         for batch in batches:
             found = [weight(features(t.as_py()), ratio) for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(3), pa.array(found, pa.float64())], names=["rid", "doc_id", "label", "weight"])
