@@ -96,7 +96,8 @@ def repeated_runs(rows: DataFrame, work: Workspace, least_run: int = LEAST_RUN)
     place = F.struct(F.col("doc_id").isNull().alias("z"), F.col("doc_id").alias("d"), F.col("rid").alias("r"), F.col("start").alias("s"))
     firsts = work.save(chunks.groupBy("high", "low").agg(F.count("*").alias("n"), F.min(place).alias("first")).filter("n > 1")
                        .select("high", "low", F.col("first.r").alias("first_rid"), F.col("first.s").alias("first_start")), "repeated")
-    later = chunks.join(sized(firsts, firsts.count(), 48), ["high", "low"]).filter("rid <> first_rid or start <> first_start")
+    # repeated chunks grow with the input: a join that shuffles at every size
+    later = chunks.join(firsts, ["high", "low"]).filter("rid <> first_rid or start <> first_start")
     # a document's chunks are bounded by its length, so they may meet in one row
     runs = later.groupBy("rid").agg(F.sort_array(F.collect_list(F.struct(F.col("start").alias("a"), (F.col("start") + F.col("size")).alias("b")))).alias("c"))
 
