@@ -93,7 +93,7 @@ FROM embeddings e JOIN reach r ON r.u = e.vec_id LEFT JOIN n ON n.u = e.vec_id G
 
 
 def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"), with_text=False).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -257,8 +257,12 @@ def _blobs(rows: list[tuple], schema: pa.Schema) -> pa.Table:
     return pa.Table.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(schema)], schema=schema)
 
 
-def covered(docs: DataFrame, work: Workspace, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """One row per document: rid, doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept binary, spans array<struct<a:long,b:long>>."""
+def suffix_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", with_text: bool = True) -> DataFrame:
+    """One row per document, saved: rid, doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept binary, spans array<struct<a:long,b:long>>.
+
+    Without with_text, kept is null.
+    """
+    work = Workspace(docs.sparkSession, "suffix")
     spark = docs.sparkSession
     plain = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("raw"))
     total = plain.agg(F.sum(F.octet_length("raw").cast("long")).alias("n")).first()["n"] or 0
@@ -443,7 +447,7 @@ def covered(docs: DataFrame, work: Workspace, text: str = "text", doc_id: str =
         for k, (s, e) in enumerate(zip(own.starts.tolist(), own.ends.tolist())):
             cut = list(zip(begin[edge[k] : edge[k + 1]].tolist(), finish_[edge[k] : edge[k + 1]].tolist()))
             left = b"".join([own.raw[x:y] for x, y in zip([s, *(y for _, y in cut)], [*(x for x, _ in cut), e])]) if cut else own.raw[s:e]
-            kept.append(left)
+            kept.append(left if with_text else None)
             removed.append(e - s - len(left))
             spans.append([{"a": x - s, "b": y - s} for x, y in cut])
             digests.append(hashlib.sha256(left).hexdigest())
@@ -453,10 +457,9 @@ def covered(docs: DataFrame, work: Workspace, text: str = "text", doc_id: str =
             spans=pa.array(spans, pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))),
         ))
 
-    return texts.groupBy("shard").cogroup(notes.groupBy("shard")).applyInArrow(
+    done = texts.groupBy("shard").cogroup(notes.groupBy("shard")).applyInArrow(
         finish, f"rid long, doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, spans {span}")
-
-
-def suffix_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """covered() without the kept bytes."""
-    return covered(docs, Workspace(docs.sparkSession, "suffix"), text, doc_id).drop("kept")
+    out = work.save(done, "result")
+    work.drop(sent)
+    spark.sql(f"DROP TABLE {name}")
+    return out
