@@ -135,16 +135,17 @@ def without(text: bytes, cuts: list[tuple[int, int]]) -> tuple[bytes, list[tuple
     return b"".join(out), used
 
 
-def substring_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", least_run: int = LEAST_RUN) -> DataFrame:
+def substring_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", least_run: int = LEAST_RUN, work: Workspace | None = None) -> DataFrame:
     """docs with text shortened, and two more columns: removed_bytes long, removed_spans array<struct<a:int,b:int>> (bytes of the input).
 
     Columns of docs that have these two names are replaced.
     """
     docs = docs.drop("removed_bytes", "removed_spans")
-    work = Workspace(docs.sparkSession, "chunks")
+    work = work or Workspace(docs.sparkSession, "chunks")
     rid, cuts = free_name(docs, "row_number", "cuts")
     held = work.save(docs.withColumn(rid, F.monotonically_increasing_id()), "held")
     runs = repeated_runs(held.select(F.col(rid), F.col(doc_id).cast("long"), F.col(text)), work, least_run)
+    work.only(held, runs)
     runs = runs.select(F.col("rid").alias(rid), F.col("cuts").alias(cuts))
     joined = held.join(sized(runs, runs.count(), 96), rid, "left").drop(rid)
     at_text, at_cuts = joined.columns.index(text), joined.columns.index(cuts)
@@ -172,8 +173,8 @@ def substring_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     return joined.mapInArrow(cut, schema)
 
 
-def drop_repeated_passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def drop_repeated_passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", work: Workspace | None = None) -> DataFrame:
     """docs with repeated passages cut from their text; rows and columns as they were."""
     names = {c: name for c, name in zip(("removed_bytes", "removed_spans"), free_name(docs, "own_removed_bytes", "own_removed_spans")) if c in docs.columns}
-    found = substring_dedup(docs.withColumnsRenamed(names), text, doc_id).drop("removed_bytes", "removed_spans")
+    found = substring_dedup(docs.withColumnsRenamed(names), text, doc_id, work=work).drop("removed_bytes", "removed_spans")
     return found.withColumnsRenamed({new: c for c, new in names.items()})

@@ -119,11 +119,12 @@ def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     )
 
 
-def drop_exact_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def drop_exact_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", work: Workspace | None = None) -> DataFrame:
     """docs without the rows that exact_dedup drops; columns as they were."""
-    work = Workspace(docs.sparkSession, "exact-rows")
+    work = work or Workspace(docs.sparkSession, "exact-rows")
     (rid,) = free_name(docs, "row_number")
     held = work.save(docs.withColumn(rid, F.monotonically_increasing_id()), "held")
     found = verdicts(keyed(held, work, text, doc_id, rid), work)
     gone = work.save(found.filter("rid <> keep_rid").select(F.col("rid").alias(rid)), "gone")
+    work.only(held, gone)
     return held.join(sized(gone, gone.count(), 16), rid, "left_anti").drop(rid)

@@ -175,11 +175,12 @@ def quality_scores(docs: DataFrame, labels: DataFrame, work: Workspace, text: st
     return scores.select("rid", "doc_id", "weight", "key", kept.alias("kept"))
 
 
-def drop_low_quality(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def drop_low_quality(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", work: Workspace | None = None) -> DataFrame:
     """docs without the rows that quality_scores rejects; columns as they were."""
-    work = Workspace(docs.sparkSession, "quality-rows")
+    work = work or Workspace(docs.sparkSession, "quality-rows")
     (rid,) = free_name(docs, "row_number")
     held = work.save(docs.withColumn(rid, F.monotonically_increasing_id()), "held")
     scores = quality_scores(held, labels, work, text, doc_id, rid)
     gone = work.save(scores.filter("not kept").select(F.col("rid").alias(rid)), "gone")
+    work.only(held, gone)
     return held.join(sized(gone, gone.count(), 16), rid, "left_anti").drop(rid)

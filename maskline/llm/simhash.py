@@ -270,13 +270,14 @@ def near_copy_groups(docs: DataFrame, work: Workspace, text: str = "text", doc_i
     return work.save(grouped.select("rid", "root").join(best, "root").select("rid", "keep_rid"), "groups")
 
 
-def drop_near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", limit: int = 7, words: int = 5, similarity: float = 0.8) -> DataFrame:
+def drop_near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", limit: int = 7, words: int = 5, similarity: float = 0.8, work: Workspace | None = None) -> DataFrame:
     """docs with one row of each group of near copies, the one of smallest id; columns as they were."""
-    work = Workspace(docs.sparkSession, "simhash-rows")
+    work = work or Workspace(docs.sparkSession, "simhash-rows")
     (rid,) = free_name(docs, "row_number")
     held = work.save(docs.withColumn(rid, F.monotonically_increasing_id()), "held")
     groups = near_copy_groups(held, work, text, doc_id, rid, limit, words, similarity)
     gone = work.save(groups.filter("rid <> keep_rid").select(F.col("rid").alias(rid)), "gone")
+    work.only(held, gone)
     return held.join(sized(gone, gone.count(), 16), rid, "left_anti").drop(rid)
 
 

@@ -30,6 +30,7 @@ class Workspace:
         self.spark = spark
         self.root = f"{shared_dir(spark).rstrip('/')}/maskline-{name}-{uuid.uuid4().hex[:12]}"
         self.made = 0
+        self.saved: list[str] = []
 
     def save(self, df: DataFrame, name: str = "t", codec: str = "zstd") -> DataFrame:
         """Write df as Parquet and read it back: later plans start from the files, in any order and as often as they like."""
@@ -38,16 +39,29 @@ class Workspace:
         df.write.option("compression", codec).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._saved_at = path
+        self.saved.append(path)
         return out
 
+    def only(self, *kept: DataFrame) -> None:
+        """Delete every saved table but these."""
+        paths = {getattr(df, "_saved_at", None) for df in kept}
+        for path in [p for p in self.saved if p not in paths]:
+            self._delete(path)
+
+    def close(self) -> None:
+        """Delete every saved table."""
+        self.only()
+
     def drop(self, df: DataFrame) -> None:
         """Delete a saved table that no later plan reads."""
-        path = getattr(df, "_saved_at", None)
-        if path:
-            jvm = self.spark.sparkContext._jvm
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            with contextlib.suppress(Exception):  # a leftover file costs disk, not correctness
-                target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        if path := getattr(df, "_saved_at", None):
+            self._delete(path)
+
+    def _delete(self, path: str) -> None:
+        self.saved = [p for p in self.saved if p != path]
+        target = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        with contextlib.suppress(Exception):  # a leftover file costs disk, not correctness
+            target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def sized(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
