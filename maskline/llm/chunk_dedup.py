@@ -3,8 +3,10 @@
 A gear hash rolls over the UTF-8 bytes: h = 2h + G[byte], in 32 bits, so it depends on the last 32 bytes only. A chunk ends
 after a byte whose hash has its top MASK_BITS bits zero, is at least LEAST and at most MOST bytes long, and is known by the
 128-bit XXH3 digest of its bytes. Chunk ends depend on content, so an insertion shifts them only nearby. Of equal chunks the
-first (smallest id, then row, then place) stays. A later copy goes where it lies in a run of repeated chunks of at
-least `least_run` bytes; shorter runs are chance repeats and stay. Decisions are taken on the input as it is.
+first (smallest id, then row, then place) stays. Later copies side by side are a run; a run of SEED bytes or more is widened
+byte by byte, by up to REACH bytes a side, as far as it agrees with what stands beside the first copies of its outer
+chunks, and goes if it then has at least `least_run` bytes; shorter ones are chance repeats and stay. Decisions are taken
+on the input as it is, and always against an earlier place, so one copy of every passage stays.
 
 Defined results: null text stays null and has no chunks; empty text has none; a removed edge that would split a UTF-8
 character moves to keep the character whole; rows with equal ids are ordered by row; null ids come last; an empty table
@@ -27,6 +29,7 @@ from .storage import Workspace, free_name, sized
 LEAST, MASK_BITS, MOST = 24, 5, 256
 #: 50 words or so of the shortest kind: runs of repeated chunks below this are left alone.
 LEAST_RUN = 120
+SEED, REACH = 48, 256
 
 #: One 32-bit value per byte, from a fixed seed.
 GEAR = np.random.default_rng(20240229).integers(0, 1 << 32, 256, dtype=np.uint32)
@@ -90,8 +93,46 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(rid, chunks in order) to a row per run of SEED bytes: rid, a, b, and where the first copies of its outer chunks begin and end."""
+    for batch in batches:
+        rows: list[list[int]] = []
+        for rid, chunks in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            run: list[int] | None = None
+            for c in chunks:
+                if run and run[2] == c["a"]:
+                    run[2], run[5], run[6] = c["b"], c["r"], c["s"] + c["b"] - c["a"]
+                else:
+                    run = [rid, c["a"], c["b"], c["r"], c["s"], c["r"], c["s"] + c["b"] - c["a"]]
+                    rows.append(run)
+        columns = list(zip(*(r for r in rows if r[2] - r[1] >= SEED))) or [[]] * 7
+        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int32()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["rid", "a", "b", "left_rid", "left_at", "right_rid", "right_at"])
+
+
+def _agree(x: bytes, y: bytes, back: bool) -> int:
+    """Bytes that x and y share at their beginning, or at their end."""
+    n, most = 0, min(len(x), len(y))
+    while n < most and (x[-1 - n] == y[-1 - n] if back else x[n] == y[n]):
+        n += 1
+    return n
+
+
+def joined_spans(spans: list[tuple[int, int, int, int]], least_run: int) -> list[tuple[int, int]]:
+    """Runs (a, b, bytes wider on the left, on the right) of at least least_run bytes once widened, joined where they meet."""
+    out: list[tuple[int, int]] = []
+    for a, b, left, right in spans:
+        if b + right - (a - left) >= least_run:
+            if out and out[-1][1] >= a - left:
+                out[-1] = (min(out[-1][0], a - left), max(out[-1][1], b + right))
+            else:
+                out.append((a - left, b + right))
+    return out
+
+
 def repeated_runs(rows: DataFrame, work: Workspace, least_run: int = LEAST_RUN) -> DataFrame:
-    """(rid, cuts): for each row with something to remove, its byte ranges as an array of struct(a, b) in order."""
+    """(rid, cuts): for each row of (rid, doc_id, text) with something to remove, its byte ranges as an array of struct(a, b) in order."""
+    rid, doc_id, text = rows.columns
     chunks = work.save(rows.mapInArrow(_chunks, "high long, low long, doc_id long, rid long, start int, size int"), "chunks")
     place = F.struct(F.col("doc_id").isNull().alias("z"), F.col("doc_id").alias("d"), F.col("rid").alias("r"), F.col("start").alias("s"))
     firsts = work.save(chunks.groupBy("high", "low").agg(F.count("*").alias("n"), F.min(place).alias("first")).filter("n > 1")
@@ -99,24 +140,40 @@ def repeated_runs(rows: DataFrame, work: Workspace, least_run: int = LEAST_RUN)
     # repeated chunks grow with the input: a join that shuffles at every size
     later = chunks.join(firsts, ["high", "low"]).filter("rid <> first_rid or start <> first_start")
     # a document's chunks are bounded by its length, so they may meet in one row
-    runs = later.groupBy("rid").agg(F.sort_array(F.collect_list(F.struct(F.col("start").alias("a"), (F.col("start") + F.col("size")).alias("b")))).alias("c"))
+    one = F.struct(F.col("start").alias("a"), (F.col("start") + F.col("size")).alias("b"), F.col("first_rid").alias("r"), F.col("first_start").alias("s"))
+    runs = later.groupBy("rid").agg(F.sort_array(F.collect_list(one)).alias("c")).mapInArrow(_runs, "rid long, a int, b int, left_rid long, left_at int, right_rid long, right_at int")
+    runs = work.save(runs, "runs")
+    n = 2 * runs.count()
+    raw = F.col(text).cast("binary")
+
+    def beside(of: str, left_at: str, right_at: str, name: str) -> DataFrame:
+        """The bytes left of left_at and right of right_at in the rows that left_rid and right_rid (or rid) name."""
+        key = lambda side: F.col("rid" if of == "own" else f"{side}_rid")
+        sides = [runs.select(key(side).alias("src"), F.col(at).alias("at"), F.lit(side == "left").alias("is_left"), "rid", "a", "b") for side, at in (("left", left_at), ("right", right_at))]
+        asked = sides[0].unionByName(sides[1])
+        start = F.greatest(F.col("at") - REACH, F.lit(0))
+        near = F.when(F.col("is_left"), F.substring(raw, start + 1, F.col("at") - start)).otherwise(F.substring(raw, F.col("at") + 1, F.lit(REACH)))
+        return rows.select(F.col(rid).alias("src"), F.col(text)).join(sized(asked, n, 48), "src").select("rid", "a", "b", "is_left", near.alias(name))
+
+    both = beside("own", "a", "b", "mine").join(beside("first", "left_at", "right_at", "other"), ["rid", "a", "b", "is_left"])
+
+    def widen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            width = [_agree(x.as_py(), y.as_py(), left) for x, y, left in zip(batch.column(4), batch.column(5), batch.column(3).to_pylist())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(width, pa.int32())], names=["rid", "a", "b", "is_left", "wider"])
+
+    wide = both.select("rid", "a", "b", "is_left", "mine", "other").mapInArrow(widen, "rid long, a int, b int, is_left boolean, wider int")
+    pick = lambda left: F.max(F.when(F.col("is_left") == left, F.col("wider")))
+    each = wide.groupBy("rid", "a", "b").agg(pick(True).alias("l"), pick(False).alias("r"))
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rids, cuts = [], []
-            for rid, spans in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                merged: list[list[int]] = []
-                for span in spans:
-                    if merged and merged[-1][1] == span["a"]:
-                        merged[-1][1] = span["b"]
-                    else:
-                        merged.append([span["a"], span["b"]])
-                if kept := [{"a": a, "b": b} for a, b in merged if b - a >= least_run]:
-                    rids.append(rid)
-                    cuts.append(kept)
-            yield pa.RecordBatch.from_arrays([pa.array(rids, pa.int64()), pa.array(cuts, pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])))], names=["rid", "cuts"])
-
-    return work.save(runs.mapInArrow(join, "rid long, cuts array<struct<a:int,b:int>>"), "runs")
+            found = [joined_spans([(s["a"], s["b"], s["l"], s["r"]) for s in spans], least_run) for spans in batch.column(1).to_pylist()]
+            cuts = pa.array([[{"a": a, "b": b} for a, b in f] for f in found], pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])))
+            yield pa.RecordBatch.from_arrays([batch.column(0), cuts], names=["rid", "cuts"]).filter(pa.array([bool(f) for f in found], pa.bool_()))
+
+    spans = each.groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("a", "b", "l", "r"))).alias("s"))
+    return work.save(spans.mapInArrow(join, "rid long, cuts array<struct<a:int,b:int>>"), "cuts")
 
 
 def without(text: bytes, cuts: list[tuple[int, int]]) -> tuple[bytes, list[tuple[int, int]]]:
@@ -144,7 +201,7 @@ def substring_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     work = work or Workspace(docs.sparkSession, "chunks")
     rid, cuts = free_name(docs, "row_number", "cuts")
     held = work.save(docs.withColumn(rid, F.monotonically_increasing_id()), "held")
-    runs = repeated_runs(held.select(F.col(rid), F.col(doc_id).cast("long"), F.col(text)), work, least_run)
+    runs = repeated_runs(held.select(F.col(rid), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), work, least_run)
     work.only(held, runs)
     runs = runs.select(F.col("rid").alias(rid), F.col("cuts").alias(cuts))
     joined = held.join(sized(runs, runs.count(), 96), rid, "left").drop(rid)
