@@ -100,5 +100,24 @@ def manifest(summary: DataFrame, path: str) -> None:
     summary.write.mode("overwrite").json(path)
 
 
+def output_path(path: Column, root: str, layout: str = "mirror", name: Column | None = None) -> Column:
+    """Where a file's output goes: the same relative path (mirror), or a folder of its own under its name (per-file)."""
+    relative = F.regexp_replace(path, "^/+", "")
+    return F.concat_ws("/", F.lit(root.rstrip("/")), relative) if layout == "mirror" else F.concat_ws("/", F.lit(root.rstrip("/")), name, F.regexp_extract(relative, "[^/]+$", 0))
+
+
+def with_sibling(files: DataFrame, others: DataFrame, suffix: str = ".jpg") -> DataFrame:
+    """Files (path) that have a file of the same name but suffix among others (path)."""
+    derived = F.regexp_replace(files["path"], r"\.[^./]+$", suffix)
+    return files.join(others.select(F.col("path").alias("_p")), derived == F.col("_p"), "left_semi")
+
+
+def string_map(document: Column) -> Column:
+    """The entries of a JSON object that are strings; null for anything else."""
+    entries = F.from_json(document, "map<string,variant>")
+    strings = F.map_filter(entries, lambda k, v: F.schema_of_variant(v) == "STRING")
+    return F.transform_values(strings, lambda k, v: F.variant_get(v, "$", "string"))
+
+
 def folder_summary(reports: DataFrame, runs: DataFrame) -> DataFrame:
     return reports.join(runs, "folder", "left")

@@ -450,6 +450,19 @@ def unmatched_rest(spark, sf_dir):
     return geometry.unmatched(b, geometry.tag_matches(b, _stored(spark, sf_dir))).select("file_id", "idx")
 
 
+@query(f"WITH {BOXES_SQL} SELECT file_id, idx, greatest(0, least(x1, x2) - 5) AS x1, greatest(0, least(y1, y2) - 5) AS y1, least({FRAME}, greatest(x1, x2) + 5) AS x2, least({FRAME}, greatest(y1, y2) + 5) AS y2 FROM boxes")
+def quad_boxes(spark, sf_dir):
+    corner = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
+    quad = F.array(corner("x1", "y1"), corner("x2", "y1"), corner("x2", "y2"), corner("x1", "y2"))
+    return boxes(spark, sf_dir).select("file_id", "idx", geometry.quad_to_box(quad, FRAME, FRAME).alias("b")).select("file_id", "idx", "b.*")
+
+
+@query(f"WITH {BOXES_SQL}, s AS (SELECT *, greatest(1.0::DOUBLE, least(4.0::DOUBLE, 48 / greatest(y2 - y1, 1)::DOUBLE)) AS scale FROM boxes) SELECT file_id, idx, round(scale, 9) AS scale, CAST(trunc(100 / scale) AS INT) + x1 AS back FROM s")
+def crop_back_projection(spark, sf_dir):
+    b = boxes(spark, sf_dir).withColumn("scale", geometry.crop_scale(F.col("y2") - F.col("y1")))
+    return b.select("file_id", "idx", F.round("scale", 9).alias("scale"), geometry.back_project(F.lit(100), F.col("x1"), F.col("scale")).alias("back"))
+
+
 # 8. Order-dependent merges: no SQL form
 
 
@@ -547,6 +560,30 @@ def reason_histogram(spark, sf_dir):
     return rows.groupBy(text.reason_key(F.col("reason")).alias("reason_key")).agg(F.count("*").alias("n"))
 
 
+@query("SELECT o_orderkey, 'out/' || CAST(o_custkey AS VARCHAR) || '/' || CAST(o_orderkey AS VARCHAR) || '.dcm' AS mirrored, 'out/f' || CAST(o_orderkey AS VARCHAR) || '/' || CAST(o_orderkey AS VARCHAR) || '.dcm' AS own FROM orders")
+def output_paths(spark, sf_dir):
+    path = F.concat(F.lit("/"), F.col("o_custkey").cast("string"), F.lit("/"), F.col("o_orderkey").cast("string"), F.lit(".dcm"))
+    name = F.concat(F.lit("f"), F.col("o_orderkey").cast("string"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", report.output_path(path, "out").alias("mirrored"), report.output_path(path, "out/", "per-file", name).alias("own"))
+
+
+@query("SELECT CAST(o_orderkey AS VARCHAR) || '.dcm' AS path FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_linenumber = 1)")
+def selection_siblings(spark, sf_dir):
+    files = table(spark, sf_dir, "orders").select(F.concat(F.col("o_orderkey").cast("string"), F.lit(".dcm")).alias("path"))
+    images = table(spark, sf_dir, "lineitem").filter("l_linenumber = 1").select(F.concat(F.col("l_orderkey").cast("string"), F.lit(".jpg")).alias("path"))
+    return report.with_sibling(files, images)
+
+
+_STATE = "CASE WHEN a AND NOT e THEN 'PASSED' WHEN s THEN 'PASSED (Escalated)' ELSE 'FAILED' END"
+_FLAGS = "p_partkey, p_partkey % 2 = 0 AS a, p_partkey % 3 = 0 AS e, p_partkey % 5 > 1 AS s, p_partkey % 7 > 0 AS px, p_partkey % 4 > 0 AS geo, CASE WHEN p_partkey % 11 = 0 THEN 3 ELSE 1 END AS samples"
+
+
+@query(f"WITH f AS (SELECT {_FLAGS} FROM part) SELECT p_partkey, {_STATE} AS status, CASE WHEN px AND samples > 1 THEN 'error: colour' WHEN px THEN 'image' WHEN geo THEN 'error: geometry without pixels' ELSE 'metadata only' END AS presence FROM f")
+def verification_states(spark, sf_dir):
+    f = table(spark, sf_dir, "part").selectExpr(*[c.strip() for c in _FLAGS.split(", ")])
+    return f.select("p_partkey", pixels.verification(F.col("a"), F.col("e"), F.col("s")).alias("status"), pixels.pixel_presence(F.col("px"), F.col("geo"), F.col("samples")).alias("presence"))
+
+
 _PIVOT = ["PatientName", "PatientID", "OtherPatientNames", "StudyID", "(0009,0010)", "(6000,3000)"]
 
 

@@ -181,3 +181,9 @@ def test_query_matches_its_sql(spark, oracle, name):
 def test_entry(spark):
     assert __spark_entry__.entry(spark).columns == ["file_id", "technique", "n"]
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_string_map(spark):
+    rows = spark.createDataFrame([('{"a": "x", "b": 5, "c": "5", "d": null, "e": {"f": "g"}}',), ("{}",), ("nonsense",)], "d string")
+    got = [r[0] for r in rows.select(report.string_map(F.col("d"))).collect()]
+    assert got[0] == {"a": "x", "c": "5"} and got[1] == {} and not got[2]
