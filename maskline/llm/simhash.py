@@ -12,6 +12,8 @@ distinct fingerprint probes every value within t_i bits of its own; those that m
 HOT probes are verified in the join itself. Larger ones are cut into blocks, every pair of blocks is compared in numpy,
 and only a spanning forest of the true links is kept, so output stays linear in the bucket.
 
+Near copies (drop_near_copies) are found without fingerprints, by an exact Jaccard join over prefixes of shingle sets.
+
 Defined results: null text counts as empty (fingerprint zero, linked like any other); rows with the same id stay apart as
 rows; a null id belongs to its component but is never its smallest; component_id is null only where all ids are; an empty
 table gives an empty result; extra columns are ignored.
@@ -20,7 +22,7 @@ table gives an empty result; extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import comb
+from math import ceil, comb
 
 import numpy as np
 import pandas as pd
@@ -38,6 +40,8 @@ HOT, BLOCK = 128, 2048
 #: Cost of a probe (a shuffled row) in candidate comparisons inside the join.
 PROBE_COST = 12.0
 MOST_PARTS = 6
+#: Near copies: shingles of a block of a hot bucket; documents whose shingles are counted to order prefixes, and how many are kept (cost only).
+BLOCK_SHINGLES, SAMPLE, MOST_COMMON = 1 << 20, 8192, 1 << 17
 
 
 def fingerprint(text: bytes | None, width: int = 3) -> int:
@@ -222,60 +226,161 @@ def shingle_hashes(text: bytes | None, words: int) -> np.ndarray:
     parts = (text or b"").lower().split()
     if not parts:
         return np.zeros(0, np.uint64)
-    return np.unique(np.fromiter((xxhash.xxh64_intdigest(b" ".join(parts[k : k + words])) for k in range(max(1, len(parts) - words + 1))), np.uint64))
+    joined, digest = b" ".join(parts), xxhash.xxh64_intdigest
+    ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1)
+    words = min(words, len(parts))
+    starts = [0, *ends[: len(parts) - words].tolist()]
+    return np.unique(np.fromiter((digest(joined[a:b]) for a, b in zip(starts, (ends[words - 1 :] - 1).tolist())), np.uint64, len(starts)))
 
 
-def _similar(edges: DataFrame, docs: DataFrame, work: Workspace, words: int, similarity: float) -> DataFrame:
-    """The edges (u, v) between rows rid of docs (rid, text) whose shingle sets have that Jaccard similarity."""
-    ends = work.save(edges.select(F.col("u").alias("rid")).union(edges.select(F.col("v").alias("rid"))).distinct(), "ends")
+def _common_shingles(docs: DataFrame, work: Workspace, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles (sorted) that several of about SAMPLE documents have, and how many have them: a bounded guide to the order of prefixes."""
+    share = SAMPLE / max(docs.count(), SAMPLE)
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in batch.column(0).cast(pa.binary()):
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_hashes(text.as_py(), words).view(np.int64))], names=["token"])
+
+    some = docs.filter(F.pmod(F.xxhash64("rid", F.lit(5)), F.lit(1 << 20)) < round(share * (1 << 20))).select("text")
+    found = some.mapInArrow(shingles, "token long").groupBy("token").agg(F.count("*").alias("n")).filter("n > 1").orderBy(F.desc("n"), "token").limit(MOST_COMMON).collect()
+    tokens = np.array([r["token"] for r in found], np.int64).view(np.uint64)
+    order = np.argsort(tokens)
+    return tokens[order], np.array([r["n"] for r in found], np.int64)[order]
+
+
+def _prefixes(docs: DataFrame, work: Workspace, words: int, similarity: float) -> DataFrame:
+    """docs (rid, doc_id, text) to (rid, doc_id, high, low, size, prefix): digest and size of the shingle set, and its rarest shingles.
+
+    Two sets whose Jaccard similarity reaches `similarity` share a shingle among their first size - ceil(similarity * size) + 1,
+    in any order of shingles that is the same for all.
+    """
+    common, seen = _common_shingles(docs, work, words)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digests, sizes, prefixes = [], [], []
+            for text in batch.column(2).cast(pa.binary()):
+                own = shingle_hashes(text.as_py(), words)
+                digests.append(xxhash.xxh3_128_digest(own.tobytes()))
+                sizes.append(len(own))
+                n = len(own) - ceil(similarity * len(own) - 1e-9) + 1 if len(own) else 0
+                often = np.zeros(len(own), np.int64)
+                if len(common):
+                    at = np.minimum(np.searchsorted(common, own), len(common) - 1)
+                    often = np.where(common[at] == own, seen[at], 0)
+                prefixes.append(own[np.lexsort((own, often))][:n].view(np.int64))
+            both = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(np.ascontiguousarray(both[:, 0])), pa.array(np.ascontiguousarray(both[:, 1])), pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64()))],
+                names=["rid", "doc_id", "high", "low", "size", "prefix"])
+
+    return docs.mapInArrow(add, "rid long, doc_id long, high long, low long, size int, prefix array<long>")
+
+
+def _near_forest(rids: np.ndarray, sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """Links of a spanning forest of the graph that links rows whose sets (none empty) have that Jaccard similarity."""
+    sizes = np.array([len(s) for s in sets])
+    codes = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    ends = np.cumsum(sizes)
+    starts, has = ends - sizes, np.zeros(int(codes.max()) + 1, np.int64)
+    rest, edges = np.arange(len(sets)), []
+    while rest.size:
+        stack, rest = [rest[0]], rest[1:]
+        while stack and rest.size:
+            x = stack.pop()
+            has[codes[starts[x] : ends[x]]] = 1
+            shared = np.add.reduceat(has[codes], starts)[rest]
+            has[codes[starts[x] : ends[x]]] = 0
+            near = shared >= similarity * (sizes[x] + sizes[rest] - shared)
+            stack.extend(rest[near].tolist())
+            edges.extend((int(rids[x]), int(rids[y])) for y in rest[near])
+            rest = rest[~near]
+    return edges
+
+
+def similar_links(rows: DataFrame, docs: DataFrame, work: Workspace, words: int, similarity: float) -> DataFrame:
+    """(u, v) links between rows of distinct sets (rid, size, prefix): enough of those of that Jaccard similarity to connect all that are linked.
+
+    A pair that shares a prefix shingle in a bucket of up to HOT rows becomes a row, is bounded by places and sizes, and verified.
+    Larger buckets are cut into blocks with their sets; every pair of blocks is verified in numpy, and only then cut to a forest.
+    """
+    entries = rows.select("rid", "size", F.posexplode("prefix").alias("pos", "token"))
+    buckets = work.save(entries.groupBy("token").agg(F.count("*").alias("n"), F.sum("size").alias("total")).filter("n > 1"), "buckets")
+    total = buckets.agg(F.count("*").alias("n"), F.sum(F.expr(f"if(n > {HOT}, 1, 0)")).alias("hot")).first()
+    if not total["n"]:
+        return work.spark.createDataFrame([], "u long, v long")
+    live = work.save(entries.join(sized(buckets, total["n"], 40), "token"), "entries")
+    cold, hot = live.filter(f"n <= {HOT}"), live.filter(f"n > {HOT}")
+    a, b = cold.alias("a"), cold.alias("b")
+    least = similarity / (1 + similarity)  # of the sum of both sizes: the shingles that a linked pair shares
+    rest = F.least(F.expr("a.size - a.pos - 1"), F.expr("b.size - b.pos - 1"))
+    sizes = F.col("a.size") + F.col("b.size")
+    near = (F.col("a.token") == F.col("b.token")) & (F.col("a.rid") > F.col("b.rid")) & (F.least("a.pos", "b.pos") + 1 + rest >= least * sizes - 1e-6)
+    shared = a.join(b, near).select(F.col("a.rid").alias("u"), F.col("b.rid").alias("v"), rest.alias("rest"), sizes.alias("sizes"))
+    # pairs that share a hot shingle too may be bounded too low here: they are verified there
+    pairs = shared.groupBy("u", "v").agg(F.count("*").alias("n"), F.min("rest").alias("rest"), F.max("sizes").alias("sizes")).filter(f"n + rest >= {least!r} * sizes - 1e-6")
+    pairs = work.save(pairs.select("u", "v"), "candidates")
+    ends = pairs.select(F.col("u").alias("rid")).union(pairs.select(F.col("v").alias("rid")))
+    if total["hot"]:
+        ends = ends.union(hot.select("rid"))
+    ends = work.save(ends.distinct(), "ends")
 
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingle_hashes(t.as_py(), words).tobytes() for t in batch.column(1).cast(pa.binary())], pa.binary())], names=["rid", "shingles"])
 
     sets = work.save(docs.select("rid", "text").join(sized(ends, ends.count(), 16), "rid").mapInArrow(shingles, "rid long, shingles binary"), "shingles")
-    both = edges.join(sets.select(F.col("rid").alias("u"), F.col("shingles").alias("a")), "u").join(sets.select(F.col("rid").alias("v"), F.col("shingles").alias("b")), "v")
+    both = pairs.join(sets.select(F.col("rid").alias("u"), F.col("shingles").alias("x")), "u").join(sets.select(F.col("rid").alias("v"), F.col("shingles").alias("y")), "v")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            near = []
-            for a, b in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(a.as_py(), np.uint64), np.frombuffer(b.as_py(), np.uint64)
-                shared = np.intersect1d(x, y, assume_unique=True).size
-                near.append(x.size + y.size == 0 or shared >= similarity * (x.size + y.size - shared))
-            yield batch.select([0, 1]).filter(pa.array(near, pa.bool_()))
+            linked = []
+            for x, y in zip(batch.column(2), batch.column(3)):
+                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
+                n = np.intersect1d(x, y, assume_unique=True).size
+                linked.append(n >= similarity * (x.size + y.size - n))
+            yield batch.select([0, 1]).filter(pa.array(linked, pa.bool_()))
+
+    found = both.select("u", "v", "x", "y").mapInArrow(verify, "u long, v long")
+    if total["hot"]:
 
-    return both.select("u", "v", "a", "b").mapInArrow(verify, "u long, v long")
+        def tile(pdf: pd.DataFrame) -> pd.DataFrame:
+            return pd.DataFrame(_near_forest(pdf["rid"].to_numpy(), [np.frombuffer(s, np.uint64) for s in pdf["shingles"]], similarity), columns=["u", "v"])
+
+        blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("total") / BLOCK_SHINGLES))
+        mine = F.pmod(F.xxhash64("rid"), blocks)
+        cut = hot.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), (blocks - 1).cast("long"))))
+        cut = cut.select("rid", "token", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q")).join(sets, "rid")
+        found = found.union(cut.groupBy("token", "p", "q").applyInPandas(tile, "u long, v long"))
+    return found
 
 
-def near_copy_groups(docs: DataFrame, work: Workspace, text: str = "text", doc_id: str = "doc_id", rid: str = "rid", limit: int = 7, words: int = 5, similarity: float = 0.8) -> DataFrame:
+def near_copy_groups(docs: DataFrame, work: Workspace, text: str = "text", doc_id: str = "doc_id", rid: str = "rid", words: int = 5, similarity: float = 0.8) -> DataFrame:
     """(rid, keep_rid) of every row of docs in a group of near copies; keep_rid is the row of smallest id.
 
-    Candidates come from fingerprints within limit bits; each candidate link between two rows counts only if the Jaccard
-    similarity of their sets of `words`-word shingles reaches `similarity`. Rows of one fingerprint link to its first row.
+    Two rows are linked if the Jaccard similarity of their sets of `words`-word shingles reaches `similarity`; every such link
+    counts. Fingerprints take no part: at any radius that can be searched they miss links. Rows of equal sets stand as one.
     Empty texts share no shingle but are alike: they are one group.
     """
     picked = docs.select(F.col(rid).alias("rid"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    rows = work.save(with_fingerprints(picked, "text").drop("text"), "fingerprints")
+    rows = work.save(_prefixes(picked, work, words, similarity), "prefixes")
     order = F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col("rid").alias("c"))
-    firsts = work.save(rows.groupBy("fp").agg(F.min(order)["c"].alias("first")), "distinct")
-    n = firsts.count()
-    of = lambda side: sized(firsts.select(F.col("fp").alias(side), F.col("first").alias(f"{side}_row")), n, 24)
-    far = links(firsts, work, limit).distinct().join(of("u"), "u").join(of("v"), "v").select(F.col("u_row").alias("u"), F.col("v_row").alias("v"))
-    own = rows.join(sized(firsts, n, 24), "fp").filter("rid <> first").select(F.col("first").alias("u"), F.col("rid").alias("v"))
-    edges = work.save(far.union(own), "candidates")
-    roots = work.save(components(_similar(edges, picked, work, words, similarity), work), "roots")
+    repeated = work.save(rows.groupBy("high", "low").agg(F.count("*").alias("n"), F.min(order)["c"].alias("first")).filter("n > 1").drop("n"), "repeated")
+    own = work.save(rows.join(sized(repeated, repeated.count(), 40), ["high", "low"]).filter("rid <> first").select(F.col("first").alias("u"), F.col("rid").alias("v")), "copies")
+    singles = rows.join(sized(own.select(F.col("v").alias("rid")), own.count(), 16), "rid", "left_anti")
+    roots = work.save(components(similar_links(singles, picked, work, words, similarity).union(own), work), "roots")
     grouped = rows.select("rid", "doc_id").join(sized(roots, roots.count(), 24), F.col("rid") == F.col("node"))
     best = grouped.groupBy("root").agg(F.min(order)["c"].alias("keep_rid"))
     return work.save(grouped.select("rid", "root").join(best, "root").select("rid", "keep_rid"), "groups")
 
 
-def drop_near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", limit: int = 7, words: int = 5, similarity: float = 0.8, work: Workspace | None = None) -> DataFrame:
+def drop_near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = 5, similarity: float = 0.8, work: Workspace | None = None) -> DataFrame:
     """docs with one row of each group of near copies, the one of smallest id; columns as they were."""
     work = work or Workspace(docs.sparkSession, "simhash-rows")
     (rid,) = free_name(docs, "row_number")
     held = work.save(docs.withColumn(rid, F.monotonically_increasing_id()), "held")
-    groups = near_copy_groups(held, work, text, doc_id, rid, limit, words, similarity)
+    groups = near_copy_groups(held, work, text, doc_id, rid, words, similarity)
     gone = work.save(groups.filter("rid <> keep_rid").select(F.col("rid").alias(rid)), "gone")
     work.only(held, gone)
     return held.join(sized(gone, gone.count(), 16), rid, "left_anti").drop(rid)

@@ -142,6 +142,39 @@ def test_near_copies_leave_one(spark, corpus):
     assert simhash.drop_near_copies(frame(spark, corpus)).columns == frame(spark, []).columns
 
 
+def plain_near_copies(rows):
+    """Ids left by brute force over all pairs: Jaccard similarity of 0.8 or more on five-word shingles."""
+    sets = []
+    for _, t in rows:
+        w = (t or "").lower().split()
+        sets.append({tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set())
+    root = closure(len(rows), lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))
+    least = {}
+    for (i, _), r in zip(rows, root):
+        least[r] = min(least.get(r, i), i)
+    return sorted(least.values())
+
+
+def test_near_copies_in_hot_buckets_are_verified_before_the_forest(spark, monkeypatch):
+    """Buckets over HOT whose rows are linked to some of the others only, in one block and in many."""
+    monkeypatch.setattr(simhash, "HOT", 4)
+    rng = random.Random(21)
+    rows = []
+    for g in range(6):
+        base = words(rng, 300).split()
+        for k in range(12):
+            # rows that lack about a tenth of the base's shingles, and one that differs from a row by a word
+            edited = list(base)
+            for at in rng.sample(range(300), rng.randint(3, 9)):
+                edited[at] = words(rng, 1)
+            rows.append((g * 100 + 2 * k, " ".join(edited)))
+            edited[rng.randrange(300)] = words(rng, 1)
+            rows.append((g * 100 + 2 * k + 1, " ".join(edited)))
+    for block in (2048, 5):
+        monkeypatch.setattr(simhash, "BLOCK", block)
+        assert sorted(r["doc_id"] for r in simhash.drop_near_copies(frame(spark, rows)).collect()) == plain_near_copies(rows)
+
+
 def test_chunks_cover_text_and_survive_insertion():
     rng = random.Random(7)
     text = words(rng, 3000).encode()
