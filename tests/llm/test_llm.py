@@ -175,6 +175,21 @@ def test_near_copies_in_hot_buckets_are_verified_before_the_forest(spark, monkey
         assert sorted(r["doc_id"] for r in simhash.drop_near_copies(frame(spark, rows)).collect()) == plain_near_copies(rows)
 
 
+def test_near_copies_far_in_fingerprint_are_found(spark):
+    """Short texts with one or two words changed: 0.8 or more in Jaccard, often many fingerprint bits apart."""
+    rng = random.Random(22)
+    rows = []
+    for g in range(60):
+        base = words(rng, 110).split()
+        other = list(base)
+        for at in rng.sample(range(110), 2):
+            other[at] = words(rng, 1)
+        rows += [(2 * g, " ".join(base)), (2 * g + 1, " ".join(other))]
+    prints = [plain_fingerprint(t) for _, t in rows]
+    assert any((prints[k] ^ prints[k + 1]).bit_count() > 7 for k in range(0, 120, 2))
+    assert sorted(r["doc_id"] for r in simhash.drop_near_copies(frame(spark, rows)).collect()) == plain_near_copies(rows)
+
+
 def test_chunks_cover_text_and_survive_insertion():
     rng = random.Random(7)
     text = words(rng, 3000).encode()
