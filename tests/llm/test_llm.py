@@ -190,6 +190,19 @@ def test_near_copies_far_in_fingerprint_are_found(spark):
     assert sorted(r["doc_id"] for r in simhash.drop_near_copies(frame(spark, rows)).collect()) == plain_near_copies(rows)
 
 
+def test_near_copies_behind_one_fingerprint_are_found(spark):
+    """A shingle repeated so often that it fixes every bit: the rows of the one fingerprint are alike only among themselves."""
+    rng = random.Random(23)
+    often, rows = "tick " * 2000, []
+    for g in range(8):
+        tail = words(rng, 100).split()
+        rows.append((10 * g, often + " ".join(tail)))
+        tail[50] = words(rng, 1)
+        rows.append((10 * g + 1, often + " ".join(tail)))
+    assert len({plain_fingerprint(t) for _, t in rows}) == 1
+    assert sorted(r["doc_id"] for r in simhash.drop_near_copies(frame(spark, rows)).collect()) == plain_near_copies(rows) == list(range(0, 80, 10))
+
+
 def test_chunks_cover_text_and_survive_insertion():
     rng = random.Random(7)
     text = words(rng, 3000).encode()
