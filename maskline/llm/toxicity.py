@@ -1,15 +1,17 @@
-"""Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index, distance-weighted votes.
+"""Toxicity by nearest labelled examples: exact TF-IDF cosine over an inverted index of all terms, distance-weighted votes.
 
 Examples are the labelled rows whose crc32 of the id as text, mod 4, is not 2; at most about MOST_EXAMPLES of them, those of
-lowest hash, so the index is bounded. Terms are lower-cased runs of word characters; the vocabulary holds those
-whose shares among toxic and other examples differ by a factor of MIN_RATIO or more, with a likelihood-ratio statistic of
-at least 2 ln(distinct terms / CHANCE), so that about CHANCE terms would pass by chance, the MOST_TERMS strongest. A vector has (1 + ln tf) * idf for each term it has, with length 1.
-
-The index holds, for each term, its examples in blocks of BLOCK and the greatest weight in each block. A query bounds every block by
-the sum of its weights times those, visits blocks from the highest bound, and stops when the bound falls below its K-th best cosine:
-what it skips cannot be among the K nearest, so the search is exact. Examples are laid out by strongest term, so blocks
-differ. The score is the similarity-weighted share of toxic neighbours, drawn towards the share of all examples that have any term by
-PRIOR; a text with no term scores the (smoothed) toxic share of examples with no term.
+lowest hash, so the index is bounded. Terms are lower-cased runs of word characters; the vocabulary holds every term of an
+example. A vector has (1 + ln tf) * idf * (1 + g) for each term it has, with length 1; idf and g, the likelihood-ratio statistic of
+the term's shares among toxic and other examples, are counted over the examples. The terms reported as evidence are those
+whose shares differ by a factor of MIN_RATIO or more, with g of at least 2 ln(distinct terms / CHANCE), so that about CHANCE terms
+would pass by chance, the MOST_TERMS strongest; the search does not depend on them.
+
+Every example's cosine is summed: the terms that over a COMMON-th of the examples have by products of single-precision matrices, GROUP
+queries at a time, the others from their lists. Those within ERROR of the K-th best, far more than rounding, are computed again in
+double precision, so the search is exact. The score is the similarity-weighted share of toxic neighbours, drawn towards the
+share of all examples that have any term by PRIOR; a text with no known term scores the toxic share of examples with no
+term, drawn towards that of all examples by one example.
 
 Defined results: null and empty texts have no term; null labels are ignored, several labels of an id count as its largest; a null id
 is not held out; without examples every score is 0.5, without terms the toxic share; ties among neighbours go to the smaller example
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 from .storage import Workspace
 
 MOST_EXAMPLES, MOST_TERMS, MIN_RATIO, CHANCE = 20_000, 1024, 3.0, 0.05
-K, BLOCK, PRIOR, CUT = 25, 128, 0.5, 0.3
+K, COMMON, GROUP, ERROR, PRIOR, CUT = 25, 32, 64, 1e-4, 0.5, 0.3
 WORD = re.compile(r"\w+")
 
 
@@ -42,67 +44,91 @@ def term_counts(text: str | None, among: dict[str, int] | None = None) -> dict:
     words = WORD.findall((text or "").lower())
     if among is None:
         return Counter(words)
-    hit = set(words).intersection(among)
-    return {among[w]: words.count(w) for w in hit}
+    return {among[w]: n for w, n in Counter(words).items() if w in among}
 
 
 class Index:
-    """Examples with their blocks; ids, labels and vectors are small and bounded."""
+    """Examples by place and by term; ids, labels and vectors are small and bounded. A vector is {term: count} or an array of such pairs."""
 
-    def __init__(self, vectors: list[dict[int, int]], labels: np.ndarray, ids: np.ndarray, idf: np.ndarray):
+    def __init__(self, vectors: list, labels: np.ndarray, ids: np.ndarray, idf: np.ndarray):
         self.idf = idf
-        units = [self.unit(v) for v in vectors]
-        empty = np.array([not v for v in vectors], bool)
-        self.no_term = (labels[empty].sum() + 0.5) / (empty.sum() + 1.0) if len(labels) else 0.5
+        empty = np.array([not len(v) for v in vectors], bool)
+        self.no_term = (labels[empty].sum() + labels.mean()) / (empty.sum() + 1.0) if len(labels) else 0.5
         full = np.flatnonzero(~empty)
         self.share = labels[full].mean() if len(full) else self.no_term
-        top = [max(units[k], key=lambda t: (units[k][t], t)) for k in full]
-        full = full[np.lexsort((ids[full], top))] if len(full) else full
         self.labels, self.ids = labels[full].astype(float), ids[full]
-        self.blocks = -(-len(full) // BLOCK)
-        lists: dict[int, list[tuple[int, float]]] = {}
+        sizes = np.array([len(vectors[k]) for k in full], np.int64)
+        self.edge = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+        self.terms, self.weights = np.zeros(self.edge[-1], np.int32), np.zeros(self.edge[-1])
         for place, k in enumerate(full):
-            for t, w in units[k].items():
-                lists.setdefault(t, []).append((place, w))
-        self.postings, self.bounds = {}, {}
-        for t, items in lists.items():
-            place, w = np.array([p for p, _ in items]), np.array([w for _, w in items])
-            most = np.zeros(self.blocks)
-            np.maximum.at(most, place // BLOCK, w)
-            self.postings[t] = (place, w, np.searchsorted(place, np.arange(self.blocks + 1) * BLOCK))
-            self.bounds[t] = most
+            part = slice(self.edge[place], self.edge[place + 1])
+            self.terms[part], self.weights[part] = self.unit_arrays(vectors[k])
+        self.ready = False
+
+    def prepare(self) -> None:
+        """The lists by term, made where they are used."""
+        n, m = len(self.ids), len(self.idf)
+        order = np.argsort(self.terms, kind="stable")
+        self.places, self.by_term = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.edge))[order], self.weights[order]
+        held = np.bincount(self.terms, minlength=m)
+        self.start = np.concatenate([[0], np.cumsum(held)])
+        common = np.flatnonzero(held * COMMON > n)
+        self.row = np.full(m, -1, np.int32)
+        self.row[common] = np.arange(len(common))
+        self.matrix = np.zeros((len(common), n), np.float32)
+        for k, t in enumerate(common.tolist()):
+            self.matrix[k, self.places[self.start[t] : self.start[t + 1]]] = self.by_term[self.start[t] : self.start[t + 1]]
+        self.dense = np.zeros(m)
+        self.ready = True
+
+    def unit_arrays(self, counts) -> tuple[np.ndarray, np.ndarray]:
+        """Terms in order, and their weights in a vector of length 1."""
+        pairs = np.array(sorted(counts.items()), np.int64) if isinstance(counts, dict) else counts
+        raw = (1 + np.log(pairs[:, 1])) * self.idf[pairs[:, 0]]
+        return pairs[:, 0], raw / np.sqrt((raw * raw).sum())
 
     def unit(self, counts: dict[int, int]) -> dict[int, float]:
-        raw = {t: (1 + np.log(n)) * self.idf[t] for t, n in counts.items()}
-        norm = np.sqrt(sum(w * w for w in raw.values()))
-        return {t: float(w / norm) for t, w in raw.items()}
+        return dict(zip(*(x.tolist() for x in self.unit_arrays(counts)))) if counts else {}
+
+    def nearest_of(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int = K) -> list[list[tuple[float, int]]]:
+        """For each query (terms, weights) the k examples of highest cosine over 0: (cosine, place), ties by example id."""
+        if not self.ready:
+            self.prepare()
+        n = len(self.ids)
+        if not n:
+            return [[] for _ in queries]
+        heads = np.zeros((len(queries), len(self.matrix)), np.float32)
+        for q, (terms, weights) in enumerate(queries):
+            at = self.row[terms]
+            heads[q, at[at >= 0]] = weights[at >= 0]
+        out = []
+        for (terms, weights), score in zip(queries, heads @ self.matrix):
+            rare = self.row[terms] < 0
+            for a, b, w in zip(self.start[terms[rare]].tolist(), self.start[terms[rare] + 1].tolist(), weights[rare].tolist()):
+                score[self.places[a:b]] += w * self.by_term[a:b]
+            least = np.partition(score, n - k)[n - k] if n > k else 0.0
+            live = np.flatnonzero((score >= least - ERROR) & (score > 0))
+            # in full, and in one order of terms, so that equal examples have equal cosines
+            self.dense[terms] = weights
+            exact = [float(self.weights[a:b] @ self.dense[self.terms[a:b]]) for a, b in zip(self.edge[live].tolist(), self.edge[live + 1].tolist())]
+            self.dense[terms] = 0
+            best = sorted((-s, int(self.ids[p]), p) for s, p in zip(exact, live.tolist()) if s > 0)[:k]
+            out.append([(-s, p) for s, _, p in best])
+        return out
 
     def nearest(self, query: dict[int, float], k: int = K) -> list[tuple[float, int]]:
-        """The k examples of highest cosine over 0: (cosine, place), ties by example id."""
-        known = [(t, w) for t, w in query.items() if t in self.postings]
-        if not known:
-            return []
-        bound = sum(w * self.bounds[t] for t, w in known)
-        best: list[tuple[float, int, int]] = []
-        for block in np.argsort(-bound, kind="stable").tolist():
-            if bound[block] <= 0 or len(best) == k and bound[block] < -best[-1][0] - 1e-12:
-                break
-            score = np.zeros(BLOCK)
-            for t, w in known:
-                place, weight, edge = self.postings[t]
-                part = slice(edge[block], edge[block + 1])
-                score[place[part] - block * BLOCK] += w * weight[part]
-            some = np.flatnonzero(score > 0)
-            best = sorted(best + [(-score[s], int(self.ids[block * BLOCK + s]), block * BLOCK + int(s)) for s in some.tolist()])[:k]
-        return [(-s, place) for s, _, place in best]
-
-    def score(self, counts: dict[int, int]) -> tuple[float, list[tuple[float, int]]]:
-        near = self.nearest(self.unit(counts)) if counts else []
-        if not near:
-            return float(self.no_term), []
-        total = sum(s for s, _ in near)
-        toxic = sum(s * self.labels[p] for s, p in near)
-        return float((toxic + PRIOR * self.share) / (total + PRIOR)), near
+        return self.nearest_of([(np.array(list(query), np.int64), np.array(list(query.values()), float))], k)[0]
+
+    def scores(self, counts: list[dict[int, int]]) -> Iterator[tuple[float, list[tuple[float, int]]]]:
+        """The score of each text (its counts), and its neighbours."""
+        for at in range(0, len(counts), GROUP):
+            some = counts[at : at + GROUP]
+            found = iter(self.nearest_of([self.unit_arrays(c) for c in some if c]))
+            for c in some:
+                near = next(found) if c else []
+                total = sum(s for s, _ in near)
+                toxic = sum(s * self.labels[p] for s, p in near)
+                yield (float((toxic + PRIOR * self.share) / (total + PRIOR)) if near else float(self.no_term)), near
 
 
 def examples(docs: DataFrame, labels: DataFrame, work: Workspace, text: str, doc_id: str, most: int) -> DataFrame:
@@ -114,8 +140,8 @@ def examples(docs: DataFrame, labels: DataFrame, work: Workspace, text: str, doc
     return work.save(docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).join(F.broadcast(known), "id"), "examples")
 
 
-def fit(rows: DataFrame, work: Workspace) -> tuple[dict[str, int], Index]:
-    """The vocabulary and the index of examples (id, text, label)."""
+def fit(rows: DataFrame, work: Workspace) -> tuple[dict[str, int], list[int], Index]:
+    """The vocabulary, its terms of evidence and the index of examples (id, text, label)."""
 
     def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
@@ -131,43 +157,47 @@ def fit(rows: DataFrame, work: Workspace) -> tuple[dict[str, int], Index]:
 
     total = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.expr("if(label = 1, 1, 0)")), F.lit(0)).alias("toxic")).first()
     n, n1 = total["n"], total["toxic"]
-    chosen = []
+    found = rows.mapInArrow(terms, "term string, n long, toxic long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")).orderBy("term").toArrow()
+    vocabulary = {t: k for k, t in enumerate(found.column("term").to_pylist())}
+    seen, t1 = found.column("n").to_numpy().astype(float), found.column("toxic").to_numpy().astype(float)
+    t0, g, strong = seen - t1, np.zeros(len(seen)), np.zeros(len(seen), bool)
     if 0 < n1 < n:
-        t1, t0 = F.col("toxic"), F.col("n") - F.col("toxic")
         p1, p0 = (t1 + 0.5) / (n1 + 1.0), (t0 + 0.5) / (n - n1 + 1.0)
-        cells = [(t1, F.col("n") * (n1 / n)), (t0, F.col("n") * ((n - n1) / n)), (n1 - t1, (n - F.col("n")) * (n1 / n)), (n - n1 - t0, (n - F.col("n")) * ((n - n1) / n))]
-        ratio = sum((F.when(o > 0, 2 * o * F.log(o / e)).otherwise(0.0) for o, e in cells), F.lit(0.0))
-        found = work.save(rows.mapInArrow(terms, "term string, n long, toxic long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")), "terms")
-        least = 2 * np.log(max(found.count(), 1) / CHANCE)
-        strong = found.withColumn("g", ratio).filter((F.col("g") >= float(least)) & ((p1 >= MIN_RATIO * p0) | (p0 >= MIN_RATIO * p1)))
-        chosen = strong.orderBy(F.desc("g"), "term").limit(MOST_TERMS).collect()
-    vocabulary = {r["term"]: k for k, r in enumerate(chosen)}
-    idf = np.array([np.log((1 + n) / (1 + r["n"])) + 1 for r in chosen])
+        cells = [(t1, seen * (n1 / n)), (t0, seen * ((n - n1) / n)), (n1 - t1, (n - seen) * (n1 / n)), (n - n1 - t0, (n - seen) * ((n - n1) / n))]
+        for o, e in cells:
+            some = o > 0
+            g[some] += 2 * o[some] * np.log(o[some] / e[some])
+        g = np.maximum(g, 0)
+        strong = (g >= 2 * np.log(max(len(seen), 1) / CHANCE)) & ((p1 >= MIN_RATIO * p0) | (p0 >= MIN_RATIO * p1))
+    order = np.lexsort((np.arange(len(seen)), -g))
+    evidence = sorted(order[strong[order]][:MOST_TERMS].tolist())
+    idf = (np.log((1 + n) / (1 + seen)) + 1) * (1 + g)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = [sorted(term_counts(t, vocabulary).items()) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([[t for t, _ in v] for v in own], pa.list_(pa.int32())), pa.array([[c for _, c in v] for v in own], pa.list_(pa.int32()))], names=["id", "label", "terms", "counts"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([np.array(v, np.int32).tobytes() for v in own], pa.binary())], names=["id", "label", "vector"])
 
-    held = sorted(rows.mapInArrow(vectors, "id long, label int, terms array<int>, counts array<int>").collect(), key=lambda r: r["id"])
-    return vocabulary, Index([dict(zip(r["terms"], r["counts"])) for r in held], np.array([int(r["label"] == 1) for r in held]), np.array([r["id"] for r in held], np.int64), idf)
+    held = sorted(rows.mapInArrow(vectors, "id long, label int, vector binary").collect(), key=lambda r: r["id"])
+    counts = [np.frombuffer(r["vector"], np.int32).reshape(-1, 2) for r in held]
+    return vocabulary, evidence, Index(counts, np.array([int(r["label"] == 1) for r in held]), np.array([r["id"] for r in held], np.int64), idf)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", most: int = MOST_EXAMPLES) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted, terms found, neighbours (example id, cosine, label)."""
     work = Workspace(docs.sparkSession, "toxicity")
-    vocabulary, index = fit(examples(docs, labels, work, text, doc_id, most), work)
-    names = sorted(vocabulary, key=vocabulary.__getitem__)
+    vocabulary, evidence, index = fit(examples(docs, labels, work, text, doc_id, most), work)
+    chosen, known = set(evidence), list(vocabulary)
+    names = {t: known[t] for t in evidence}
     near = pa.list_(pa.struct([("id", pa.int64()), ("cosine", pa.float64()), ("label", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             scores, terms, neighbours = [], [], []
-            for value in batch.column(2):
-                counts = term_counts(value.as_py(), vocabulary)
-                score, found = index.score(counts)
+            texts = [term_counts(value.as_py(), vocabulary) for value in batch.column(2)]
+            for counts, (score, found) in zip(texts, index.scores(texts)):
                 scores.append(min(1.0, max(0.0, score)))
-                terms.append([names[t] for t in sorted(counts)])
+                terms.append([names[t] for t in sorted(chosen.intersection(counts))])
                 neighbours.append([{"id": int(index.ids[p]), "cosine": s, "label": int(index.labels[p])} for s, p in found[:5]])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(scores, pa.float64()), pa.array([int(s >= CUT) for s in scores], pa.int32()), pa.array(terms, pa.list_(pa.string())), pa.array(neighbours, near)],

@@ -263,6 +263,34 @@ def test_toxicity(spark):
     assert [r["score"] for r in empty] == [0.5] * 3
 
 
+def test_toxicity_finds_the_example_that_is_alike_without_telling_terms(spark):
+    """A text word for word like a labelled example has that example as its neighbour, though none of its terms stands for a label."""
+    rng = random.Random(31)
+    rows = [(i, words(rng, 30) + (" grubble" if i % 5 == 0 else "")) for i in range(400)]
+    odd = [i for i in range(400, 440) if zlib.crc32(str(i).encode()) % 4 != 2][:5]
+    rows += [(i, " ".join(f"odd{i}word{k}" for k in range(20))) for i in odd]
+    rows += [(1000 + i, dict(rows)[i]) for i in odd]
+    labels = spark.createDataFrame([(i, int(i % 5 == 0 or i >= 400)) for i, _ in rows if i < 1000], "doc_id long, toxic int")
+    got = {r["doc_id"]: r for r in toxicity.toxicity(frame(spark, rows), labels).collect()}
+    for i in odd:
+        assert got[1000 + i]["predicted"] == 1
+        assert got[1000 + i]["neighbours"][0]["id"] == i and got[1000 + i]["neighbours"][0]["cosine"] > 0.999
+
+
+def test_search_over_many_terms_is_exact():
+    rng = np.random.default_rng(2)
+    idf = rng.random(400) * 6 + 1
+    vectors = [{int(t): int(rng.integers(1, 5)) for t in (400 * rng.random(rng.integers(5, 60)) ** 3).astype(int)} for _ in range(1500)]
+    index = toxicity.Index(vectors, rng.integers(0, 2, 1500), np.arange(1500), idf)
+    dense = np.zeros((1500, 400))
+    for k, v in enumerate(vectors):
+        for t, w in index.unit(v).items():
+            dense[k, t] = w
+    for k in range(80):
+        want = np.sort(dense @ dense[k])[::-1][:25]
+        assert np.allclose([s for s, _ in index.nearest(index.unit(vectors[k]))], want[want > 0])
+
+
 def test_block_max_search_is_exact():
     rng = np.random.default_rng(1)
     vectors = [{int(t): int(rng.integers(1, 5)) for t in rng.choice(30, rng.integers(0, 6), replace=False)} for _ in range(900)]
