@@ -3,7 +3,7 @@
 A gear hash rolls over the UTF-8 bytes: h = 2h + G[byte], in 32 bits, so it depends on the last 32 bytes only. A chunk ends
 after a byte whose hash has its top MASK_BITS bits zero, is at least LEAST and at most MOST bytes long, and is known by the
 128-bit XXH3 digest of its bytes. Chunk ends depend on content, so an insertion shifts them only nearby. Of equal chunks the
-first (smallest id, then row, then place) stays. Later copies side by side are a run; a run of SEED bytes or more is widened
+first (smallest id, then row, then place) stays. Later copies side by side are a run; every run, of one chunk too, is widened
 byte by byte, by up to REACH bytes a side, as far as it agrees with what stands beside the first copies of its outer
 chunks, and goes if it then has at least `least_run` bytes; shorter ones are chance repeats and stay. Decisions are taken
 on the input as it is, and always against an earlier place, so one copy of every passage stays.
@@ -29,7 +29,7 @@ from .storage import Workspace, free_name, sized
 LEAST, MASK_BITS, MOST = 24, 5, 256
 #: 50 words or so of the shortest kind: runs of repeated chunks below this are left alone.
 LEAST_RUN = 120
-SEED, REACH = 48, 256
+REACH = 256
 
 #: One 32-bit value per byte, from a fixed seed.
 GEAR = np.random.default_rng(20240229).integers(0, 1 << 32, 256, dtype=np.uint32)
@@ -94,7 +94,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(rid, chunks in order) to a row per run of SEED bytes: rid, a, b, and where the first copies of its outer chunks begin and end."""
+    """(rid, chunks in order) to a row per run: rid, a, b, and where the first copies of its outer chunks begin and end."""
     for batch in batches:
         rows: list[list[int]] = []
         for rid, chunks in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -105,7 +105,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 else:
                     run = [rid, c["a"], c["b"], c["r"], c["s"], c["r"], c["s"] + c["b"] - c["a"]]
                     rows.append(run)
-        columns = list(zip(*(r for r in rows if r[2] - r[1] >= SEED))) or [[]] * 7
+        columns = list(zip(*rows)) or [[]] * 7
         kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int32()]
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["rid", "a", "b", "left_rid", "left_at", "right_rid", "right_at"])
 

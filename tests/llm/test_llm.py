@@ -239,6 +239,21 @@ def test_substring_dedup(spark, corpus):
     assert chunk_dedup.drop_repeated_passages(frame(spark, [])).count() == 0
 
 
+def test_passages_with_one_short_shared_chunk_go(spark):
+    """A single shared chunk of under 48 bytes is widened to the passage it stands in."""
+    rng = random.Random(41)
+    rows, short = [], []
+    while len(short) < 5:
+        passage = words(rng, 45)
+        a, b = (f"{words(rng, 30)} {passage} {words(rng, 30)}" for _ in range(2))
+        chunks = [{t[x:y] for x, y in zip([0, *ends], ends)} for t in (a.encode(), b.encode()) for ends in [chunk_dedup.cut_points(t)]]
+        if len(shared := chunks[0] & chunks[1]) == 1 and len(shared.pop()) < 48:
+            short.append((len(rows) + 1, len(passage)))
+            rows += [(len(rows), a), (len(rows) + 1, b)]
+    got = {r["doc_id"]: r["removed_bytes"] for r in chunk_dedup.substring_dedup(frame(spark, rows)).collect()}
+    assert all(n <= got[i] <= n + 4 for i, n in short)
+
+
 def test_toxicity(spark):
     rng = random.Random(5)
     bad = ["grubble", "snarkfit", "mudwit"]
