@@ -108,6 +108,16 @@ def fpe_udf(master: str, column: str, decrypt: bool = False):
     return _each(lambda v: fpe(v, master, column, decrypt))
 
 
+def fpe_column_udf(master: str):
+    """(value, column) to the value encrypted under its column's keys."""
+
+    @F.pandas_udf("string")
+    def run(values: pd.Series, columns: pd.Series) -> pd.Series:
+        return pd.Series([None if v is None or v != v else fpe(v, master, c) for v, c in zip(values, columns)], dtype=object)
+
+    return run
+
+
 def random_class_udf():
     return _each(random_class, random=True)
 

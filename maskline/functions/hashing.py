@@ -8,6 +8,8 @@ import hmac
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .binding import bind
+
 #: The most characters a value representation holds.
 VR_WIDTH = {
     "AE": 16, "AS": 4, "CS": 16, "DA": 8, "DS": 16, "DT": 26, "FL": 4, "FD": 8, "IS": 12,
@@ -41,17 +43,26 @@ def keyed_hash(value: Column, vr: Column, key: Column) -> Column:
 
 
 def digest_to_uid(digest: Column) -> Column:
-    """2.25. and the digest's first 128 bits in decimal, which no decimal type holds: by two 64-bit halves."""
-    half = lambda at: F.conv(F.substring(digest, at, 16), 16, 10).cast("decimal(20,0)")
+    """2.25. and the digest's first 128 bits in decimal, which no decimal type holds: by two 64-bit halves, each computed once."""
     whole = lambda c: c.cast("decimal(38,0)")
-    high, low = half(1), half(17)
-    # 2^64 = 18446744073 * 10^9 + 709551616
-    rest = whole(high * F.lit(709551616).cast("decimal(10,0)")) + whole(low)
     billion = F.lit(10**9).cast("decimal(10,0)")
-    upper = whole(high * F.lit(18446744073).cast("decimal(11,0)")) + whole(F.floor(rest / billion))
-    lower = (rest % billion).cast("decimal(10,0)")
-    text = F.when(upper == 0, lower.cast("string")).otherwise(F.concat(upper.cast("string"), F.lpad(lower.cast("string"), 9, "0")))
-    return F.concat(F.lit("2.25."), text)
+
+    def halves(d: Column) -> Column:
+        half = lambda at: F.conv(F.substring(d, at, 16), 16, 10).cast("decimal(20,0)")
+        return F.struct(half(1).alias("high"), half(17).alias("low"))
+
+    # 2^64 = 18446744073 * 10^9 + 709551616
+    def rest(x: Column) -> Column:
+        return F.struct(x["high"].alias("high"), (whole(x["high"] * F.lit(709551616).cast("decimal(10,0)")) + whole(x["low"])).alias("rest"))
+
+    def digits(x: Column) -> Column:
+        upper = whole(x["high"] * F.lit(18446744073).cast("decimal(11,0)")) + whole(F.floor(x["rest"] / billion))
+        return F.struct(upper.alias("upper"), (x["rest"] % billion).cast("decimal(10,0)").cast("string").alias("lower"))
+
+    def text(x: Column) -> Column:
+        return F.when(x["upper"] == 0, x["lower"]).otherwise(F.concat(x["upper"].cast("string"), F.lpad(x["lower"], 9, "0")))
+
+    return F.concat(F.lit("2.25."), bind(bind(bind(bind(digest, halves), rest), digits), text))
 
 
 def keyed_uid(value: Column, key: Column) -> Column:
@@ -59,8 +70,7 @@ def keyed_uid(value: Column, key: Column) -> Column:
 
 
 def salted_hash(value: Column, vr: Column, is_uid: Column, salt: str) -> Column:
-    digest = sha256(F.concat(F.lit(salt), value))
-    return F.when(is_uid, digest_to_uid(digest)).otherwise(fit_to_vr(digest, vr))
+    return bind(sha256(F.concat(F.lit(salt), value)), lambda d: F.when(is_uid, digest_to_uid(d)).otherwise(fit_to_vr(d, vr)))
 
 
 def subkey(master: str, context: Column) -> Column:
@@ -76,25 +86,37 @@ def derive_key(master: str, context: str) -> bytes:
     return hmac.new(master.encode(), context.encode(), hashlib.sha256).digest()[:16]
 
 
-def _keystream(master: str, column: str, n_bytes: Column) -> Column:
+def _keystream(master: str, column: Column, n_bytes: Column) -> Column:
     """Hex of the key stream of a column, long enough for n_bytes."""
     blocks = F.sequence(F.lit(0), F.greatest(F.ceil(n_bytes / 16).cast("int") - 1, F.lit(0)))
-    return F.array_join(F.transform(blocks, lambda b: subkey(master, F.concat(F.lit(f"{column}:"), b.cast("string")))), "")
+    return F.array_join(F.transform(blocks, lambda b: subkey(master, F.concat(column, F.lit(":"), b.cast("string")))), "")
+
+
+def _xor_hex(data: Column, master: str, column: Column) -> Column:
+    """Hex of data (hex) against the column's key stream, four bytes at a time; the stream is made once per value."""
+    both = bind(data, lambda d: F.struct(d.alias("d"), _keystream(master, column, F.length(d) / 2).alias("k")))
+    number = lambda text: F.conv(text, 16, 10).cast("long")
+
+    def word(x: Column, i: Column) -> Column:
+        own = F.substring(x["d"], 8 * i + 1, F.lit(8))
+        mixed = lambda a: F.lpad(F.hex(number(a).bitwiseXOR(number(F.substring(x["k"], 8 * i + 1, F.length(a))))), F.length(a), "0")
+        return bind(own, mixed)
+
+    def words(x: Column) -> Column:
+        steps = F.filter(F.sequence(F.lit(0), F.ceil(F.length(x["d"]) / 8).cast("int")), lambda i: 8 * i < F.length(x["d"]))
+        return F.lower(F.array_join(F.transform(steps, lambda i: word(x, i)), ""))
+
+    return bind(both, words)
 
 
-def _xor_hex(a: Column, b: Column, n: Column) -> Column:
-    byte = lambda text, i: F.conv(F.substring(text, 2 * i + 1, F.lit(2)), 16, 10).cast("int")
-    steps = F.filter(F.sequence(F.lit(0), n), lambda i: i < n)
-    return F.array_join(F.transform(steps, lambda i: F.lower(F.lpad(F.hex(byte(a, i).bitwiseXOR(byte(b, i)).cast("long")), 2, "0"))), "")
+def _column(name: str | Column) -> Column:
+    return F.lit(name) if isinstance(name, str) else name
 
 
-def xor_encrypt(value: Column, master: str, column: str) -> Column:
+def xor_encrypt(value: Column, master: str, column: str | Column) -> Column:
     """ENC$ and the hex of the value's UTF-8 bytes against a stream of HMAC blocks; never cut, reversible."""
-    n = F.octet_length(value)
-    return F.concat(F.lit("ENC$"), _xor_hex(F.hex(value.cast("binary")), _keystream(master, column, n), n))
+    return F.concat(F.lit("ENC$"), _xor_hex(F.hex(value.cast("binary")), master, _column(column)))
 
 
-def xor_decrypt(value: Column, master: str, column: str) -> Column:
-    body = F.substring(value, 5, 2**30)
-    n = F.octet_length(body) / 2
-    return F.decode(F.unhex(_xor_hex(body, _keystream(master, column, n), n.cast("int"))), "UTF-8")
+def xor_decrypt(value: Column, master: str, column: str | Column) -> Column:
+    return F.decode(F.unhex(_xor_hex(F.substring(value, 5, 2**30), master, _column(column))), "UTF-8")

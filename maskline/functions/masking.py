@@ -7,18 +7,25 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .binding import bind
+
 #: Month and day of an eight-digit date.
 DATE_POSITIONS = (5, 6, 7, 8)
 
 
 def trimmed(value: Column) -> Column:
     """value without white space (of any script) at either end."""
-    return F.regexp_replace(value, r"(?U)^\s+|\s+$", "")
+    ends = r"(?U)^\s|\s$"
+    return F.when(value.rlike(ends), F.regexp_replace(value, r"(?U)^\s+|\s+$", "")).otherwise(value)
+
+
+def skip_clean(clean: Column) -> Column:
+    """skip_value of a value that is trimmed already."""
+    return clean.isNull() | F.lower(clean).isin("", "nan")
 
 
 def skip_value(value: Column) -> Column:
-    clean = trimmed(value)
-    return value.isNull() | (clean == "") | (F.lower(clean) == "nan")
+    return bind(trimmed(value), skip_clean)
 
 
 def mask_positions(value: Column, positions: tuple[int, ...], char: str) -> Column:
@@ -40,7 +47,12 @@ def mask_pattern(value: Column, pattern: str, char: str = "*") -> Column:
 
 
 def scrub(value: Column, patterns: list[str], char: str = "*") -> Column:
-    return reduce(lambda v, p: mask_pattern(v, p, char), patterns, value)
+    """value with every match of each pattern masked, pattern after pattern; each step's result is computed once."""
+
+    def step(pattern: str):
+        return lambda v: F.when(v.rlike("(?U)" + pattern), mask_pattern(v, pattern, char)).otherwise(v)
+
+    return reduce(lambda v, p: bind(v, step(p)), patterns, value)
 
 
 def mask_class(value: Column, digit: str, letter: str) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .binding import bind
 from .masking import trimmed
 
 #: Named personal-data patterns; matched without regard to case as flags, with regard to it when scrubbing.
@@ -62,32 +63,27 @@ def pattern_reasons(text: Column) -> Column:
 
 
 def has_demographic_label(text: Column) -> Column:
-    upper = F.upper(text)
-    return upper.rlike("|".join("\\Q" + x + "\\E" for x in DEMOGRAPHIC)) | upper.rlike(r"(?U)\bID\b")
+    labels = "|".join("\\Q" + x + "\\E" for x in DEMOGRAPHIC)
+    return F.upper(text).rlike(r"(?U)" + labels + r"|\bID\b")
 
 
-def _tokens(upper: Column) -> Column:
-    return F.regexp_extract_all(upper, F.lit("[A-Z0-9]+"), F.lit(0))
-
-
-def _all_tokens(upper: Column, known: list[str], *patterns: str) -> Column:
+def _all_tokens(upper: Column, known: list[str], *patterns: str, least: int = 0) -> Column:
+    """Whether each token (at least `least` of them) is known or matches a pattern."""
     words = F.array(*[F.lit(x) for x in dict.fromkeys(known)])
     ok = lambda t: F.array_contains(words, t) | t.rlike("|".join(patterns))
-    return F.forall(_tokens(upper), ok)
+    return bind(F.regexp_extract_all(upper, F.lit("[A-Z0-9]+"), F.lit(0)), lambda tokens: (F.size(tokens) >= least) & F.forall(tokens, ok))
 
 
 def is_clinical(text: Column) -> Column:
     """Allowed term once stripped of all but letters and digits, side mark, or nothing but allowed tokens (at least one)."""
-    upper = F.upper(trimmed(text))
-    plain = F.regexp_replace(upper, "[^A-Z0-9]", "")
-    return upper.rlike(SIDE_MARK) | plain.isin(ALLOWED + WHOLE) | ((F.size(_tokens(upper)) > 0) & _all_tokens(upper, ALLOWED + ALSO_TOKENS, LEVEL))
+    plain = lambda u: F.regexp_replace(u, "[^A-Z0-9]", "").isin(ALLOWED + WHOLE)
+    return bind(F.upper(trimmed(text)), lambda u: u.rlike(SIDE_MARK) | plain(u) | _all_tokens(u, ALLOWED + ALSO_TOKENS, LEVEL, least=1))
 
 
 def is_clinical_for_merging(text: Column) -> Column:
     """As is_clinical, but compared as it stands, and true for empty text."""
-    upper = F.upper(trimmed(text))
     known = ALLOWED + ALSO_TOKENS + ["CXR"]
-    return (upper == "") | upper.rlike(SIDE_MARK) | upper.isin(ALLOWED + WHOLE_MERGING) | ((F.size(_tokens(upper)) > 0) & _all_tokens(upper, known, LEVEL))
+    return bind(F.upper(trimmed(text)), lambda u: (u == "") | u.rlike(SIDE_MARK) | u.isin(ALLOWED + WHOLE_MERGING) | _all_tokens(u, known, LEVEL, least=1))
 
 
 def is_pure_clinical(text: Column) -> Column:

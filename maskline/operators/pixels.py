@@ -7,47 +7,50 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..functions.binding import bind
 
-def _span(px: Column) -> tuple[Column, Column]:
-    return F.array_min(px), F.array_max(px)
 
-
-def interpolated(px: Column, q: float) -> Column:
-    """The q-quantile of an array, linear between neighbours."""
-    ordered = F.array_sort(px)
-    spot = F.lit(q) * (F.size(px) - 1)
+def interpolated(ordered: Column, q: float) -> Column:
+    """The q-quantile of a sorted array, linear between neighbours."""
+    spot = F.lit(q) * (F.size(ordered) - 1)
     low = F.floor(spot).cast("int")
-    a, b = F.element_at(ordered, low + 1), F.element_at(ordered, F.least(low + 2, F.size(px)))
+    a, b = F.element_at(ordered, low + 1), F.element_at(ordered, F.least(low + 2, F.size(ordered)))
     return a + (b - a) * (spot - low)
 
 
-def stretch(px: Column, low: Column, high: Column) -> Column:
-    """px from low..high to 0..255, cut off outside, fractions dropped; all 0 where the range is empty."""
-    one = lambda x: F.floor(F.least(F.greatest((x - low) / (high - low), F.lit(0.0)), F.lit(1.0)) * 255).cast("int")
-    return F.when(high > low, F.transform(px, one)).otherwise(F.transform(px, lambda x: F.lit(0)))
+def stretch(px: Column, span: Column) -> Column:
+    """px from span's low..high to 0..255, cut off outside, fractions dropped; all 0 where the range is empty. The span is computed once."""
+
+    def run(s: Column) -> Column:
+        one = lambda x: F.floor(F.least(F.greatest((x - s["low"]) / (s["high"] - s["low"]), F.lit(0.0)), F.lit(1.0)) * 255).cast("int")
+        return F.when(s["high"] > s["low"], F.transform(px, one)).otherwise(F.transform(px, lambda x: F.lit(0)))
+
+    return bind(span, run)
 
 
 def percentile_stretch(px: Column) -> Column:
-    return stretch(px, interpolated(px, 0.01), interpolated(px, 0.99))
+    return stretch(px, bind(F.array_sort(px), lambda o: F.struct(interpolated(o, 0.01).alias("low"), interpolated(o, 0.99).alias("high"))))
 
 
 def minmax_stretch(px: Column) -> Column:
-    return stretch(px, *_span(px))
+    return stretch(px, F.struct(F.array_min(px).alias("low"), F.array_max(px).alias("high")))
 
 
 def invert(px: Column) -> Column:
-    return F.transform(px, lambda x: F.array_max(px) - x)
+    return bind(F.array_max(px), lambda most: F.transform(px, lambda x: most - x))
 
 
 def black_fill(px: Column, width: Column, x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
     """px (row by row) with the array's least value inside the box, cut to the frame."""
-    least = F.array_min(px)
 
-    def one(x, i):
-        col, row = i % width, F.floor(i / width)
-        return F.when((col >= x1) & (col < x2) & (row >= y1) & (row < y2), least).otherwise(x)
+    def run(least: Column) -> Column:
+        def one(x, i):
+            col, row = i % width, F.floor(i / width)
+            return F.when((col >= x1) & (col < x2) & (row >= y1) & (row < y2), least).otherwise(x)
+
+        return F.transform(px, one)
 
-    return F.transform(px, one)
+    return bind(F.array_min(px), run)
 
 
 def black_fill_frames(dtype: str):

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..functions import hashing, masking, text
+from . import vault
 
 #: The fixed policy, technique by technique, elements by group.
 FIXED = {
@@ -46,7 +47,8 @@ def fixed_policy(spark: SparkSession) -> DataFrame:
 
 
 def is_uid() -> Column:
-    return masking.tag_text(F.col("grp"), F.col("elem")).isin(UID_TAGS)
+    tags = [int(t[:4], 16) << 16 | int(t[5:], 16) for t in UID_TAGS]
+    return (F.col("grp") * 65536 + F.col("elem")).isin(tags)
 
 
 def in_dropped_sequence(path: Column, dropped: list[str]) -> Column:
@@ -71,44 +73,85 @@ def key_of(keyword: Column, prefix: str) -> Column:
     return F.concat(F.lit(prefix), keyword)
 
 
-def transform(technique: Column, value: Column, vr: Column, uid: Column, key: Column) -> Column:
-    """value under a technique whose result depends on value and key only; tokens and cloaking are joined in or drawn apart."""
+#: Techniques that Column expressions carry out, and those drawn or encrypted by Arrow functions.
+NATIVE, DRAWN = ("hash", "mask", "scrub", "encrypt"), ("charcloak", "encrypt_fpe")
+#: Representations whose items have no quotes in the text form of a list.
+UNQUOTED_VRS = "PN DS IS US SS UL SL FL FD".split()
+
+
+def transform(technique: Column, value: Column, vr: Column, uid: Column, key: Column, column: Column, master: str) -> Column:
+    """value under a technique whose result depends on the value and its column's key only."""
     hashed = F.when(uid, hashing.keyed_uid(value, key)).otherwise(hashing.keyed_hash(value, vr, key))
     return (
         F.when(technique == "hash", hashed).when(technique == "mask", masking.mask_date(value))
-        .when(technique == "scrub", masking.scrub(value, text.SCRUB_PATTERNS)).otherwise(value)
+        .when(technique == "scrub", masking.scrub(value, text.SCRUB_PATTERNS)).when(technique == "encrypt", hashing.xor_encrypt(value, master, column))
     )
 
 
-def fixed_rewrite(elements: DataFrame, policy: DataFrame, key_prefix: str, tokens: DataFrame | None = None) -> DataFrame:
-    """Elements after the fixed policy; dropped ones are gone. Values under one tag's key; several values are rewritten one by one.
+def list_text(vals: Column, vr: Column) -> Column:
+    """The text that the fixed policy works on: the value, or the printed list where there are several."""
+    item = lambda v: F.when(vr.isin(UNQUOTED_VRS), v).otherwise(F.concat(F.lit("'"), v, F.lit("'")))
+    return F.when(F.size(vals) > 1, F.concat(F.lit("["), F.array_join(F.transform(vals, item), ", "), F.lit("]"))).otherwise(F.element_at(vals, 1))
 
-    tokens: (column, value, token) of a vault, for the technique tokenise; without it such values stay.
-    """
+
+def prepared(elements: DataFrame, policy: DataFrame) -> DataFrame:
+    """What the fixed policy keeps, with its decision, column key, the trimmed text _v that it works on, and _skip."""
     now = joined(elements, policy).filter(~F.col("inside") & ~F.coalesce(F.col("technique") == "suppress", F.lit(False)))
-    column = masking.column_key(F.col("keyword"), F.col("grp"), F.col("elem"))
-    key, uid = key_of(column, key_prefix), is_uid()
-    one = lambda v: F.when(masking.skip_value(v), v).otherwise(transform(F.col("technique"), masking.trimmed(v), F.col("vr"), uid, key))
-    now = now.withColumn("vals", F.when(F.col("technique").isin("hash", "mask", "scrub"), F.transform("vals", one)).otherwise(F.col("vals")))
-    if tokens is not None:
-        t = tokens.select(F.col("column").alias("_c"), F.col("value").alias("_v"), "token")
-        now = now.join(t, (F.col("technique") == "tokenise") & (column == F.col("_c")) & (F.element_at("vals", 1) == F.col("_v")), "left")
-        now = now.withColumn("vals", F.when(F.col("token").isNotNull(), F.array("token")).otherwise(F.col("vals"))).drop("_c", "_v", "token")
-    return now.select("file_id", "path", "seq", "grp", "elem", "keyword", "vr", "vals")
+    now = now.withColumn("_column", masking.column_key(F.col("keyword"), F.col("grp"), F.col("elem")))
+    now = now.withColumn("_v", F.when(F.col("technique").isin(*NATIVE, *DRAWN, "tokenise"), masking.trimmed(list_text(F.col("vals"), F.col("vr")))))
+    return now.withColumn("_skip", masking.skip_clean(F.col("_v")))
+
+
+def mint_tokens(elements: DataFrame, policy: DataFrame, held: DataFrame | None = None) -> DataFrame:
+    """The vault (column, value, number) that fixed_rewrite needs: what is held, and new tokens in order of file and place."""
+    held = elements.sparkSession.createDataFrame([], vault.SCHEMA) if held is None else held
+    seen = prepared(elements, policy).filter((F.col("technique") == "tokenise") & ~F.col("_skip"))
+    return held.unionByName(vault.extend(held, seen.select(F.col("_column").alias("column"), F.col("_v").alias("value"), "file_id", "seq"), "file_id", "seq"))
+
+
+def fixed_rewrite(elements: DataFrame, policy: DataFrame, key, tokens: DataFrame, master: str) -> DataFrame:
+    """Elements, all their columns, after the fixed policy; dropped ones are gone, changed ones have one value: several are turned to one text first.
+
+    key: a prefix before the column, or a function from the column to its key. tokens: the vault (see mint_tokens); a value to be
+    tokenised that it lacks raises an error, so no such value passes. master: the key that ciphers derive theirs from.
+    """
+    from ..functions.ciphers import fpe_column_udf, random_class_udf
+
+    now, technique, column, value = prepared(elements, policy), F.col("technique"), F.col("_column"), F.col("_v")
+    of = key_of(column, key) if isinstance(key, str) else key(column)
+    t = tokens.select(F.col("column").alias("_c"), F.col("value").alias("_t"), vault.token(F.col("number")).alias("_token"))
+    asked = F.when((technique == "tokenise") & ~F.col("_skip"), value)
+    now = now.withColumn("_asked", asked).join(t, (F.col("_asked") == F.col("_t")) & (column == F.col("_c")), "left")
+    # Python functions run on every row they are given: they get null where the technique is another
+    only = lambda name: F.when((technique == name) & ~F.col("_skip"), value)
+    done = F.coalesce(
+        F.when(technique.isin(*NATIVE), transform(technique, value, F.col("vr"), is_uid() | (F.col("vr") == "UI"), of, column, master)),
+        F.col("_token"), F.when(technique == "tokenise", F.raise_error(F.lit("a value to be tokenised has no token"))),
+        random_class_udf()(only("charcloak")), fpe_column_udf(master)(only("encrypt_fpe"), column))
+    now = now.withColumn("vals", F.when(technique.isin(*NATIVE, *DRAWN, "tokenise") & ~F.col("_skip"), F.array(done)).otherwise(F.col("vals")))
+    return now.select(*elements.columns)
 
 
 def fixed_audit(elements: DataFrame, policy: DataFrame) -> DataFrame:
-    """(file_id, seq, tag, field, technique, action) of what the fixed policy did; never a value."""
+    """(file_id, seq, tag, field, technique, action) of what the fixed policy did; never a value. An unknown technique does nothing."""
     empty = masking.skip_value(F.array_join("vals", "\\"))
     action = (
         F.when(F.col("is_private"), "deleted-private-tag").when(F.col("technique") == "suppress", "deleted").when(empty, "skipped-empty")
-        .when(F.col("technique") == "retain", "retained").otherwise("transformed")
+        .when(F.col("technique") == "retain", "retained").when(F.col("technique").isin(*NATIVE, *DRAWN, "tokenise"), "transformed").otherwise("unchanged")
     )
     kept = joined(elements, policy).filter(~F.col("inside") & F.col("technique").isNotNull())
     field_ = F.when(F.col("is_private"), "(private)").otherwise(F.col("keyword"))
     return kept.select("file_id", "seq", F.format_string("(%04X,%04X)", "grp", "elem").alias("tag"), field_.alias("field"), "technique", action.alias("action"))
 
 
+def preserve_audit(audit: DataFrame, original: DataFrame, keywords: list[str]) -> DataFrame:
+    """audit with the entries of kept tags replaced: each top-level element of these keywords is 'preserved', and unchanged."""
+    kept = original.filter(F.col("keyword").isin(keywords) & (F.col("path") == ""))
+    entry = kept.select("file_id", "seq", F.format_string("(%04X,%04X)", "grp", "elem").alias("tag"), F.col("keyword").alias("field"), F.lit("preserved").alias("technique"), F.lit("kept").alias("action"))
+    rest = audit.join(entry.select("file_id", "tag").distinct(), ["file_id", "tag"], "left_anti").select(*entry.columns)
+    return rest.withColumn("changed", ~F.col("action").isin("skipped-empty", "retained", "unchanged")).unionByName(entry.withColumn("changed", F.lit(False)))
+
+
 @dataclass(frozen=True)
 class TagAction:
     keyword: str

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from ..functions import masking, text
+from ..sources.saved import running
 
 
 def by_technique(audit: DataFrame) -> DataFrame:
@@ -18,13 +21,22 @@ def by_technique(audit: DataFrame) -> DataFrame:
 
 
 def statistics(rows: DataFrame, value: str, *keys: str) -> DataFrame:
-    """n, mean, p50, p90, p99, max, sum per key; percentiles are the values at the half-even rounded index q(n-1)."""
-    real = rows.filter(F.col(value).isNotNull())
-    spot = lambda q: masking.python_round_index(F.col("n"), q) + 1
-    order = W.partitionBy(*keys).orderBy(value)
-    placed = real.withColumn("n", F.count("*").over(W.partitionBy(*keys))).withColumn("at", F.row_number().over(order))
-    pick = lambda q: F.max(F.when(F.col("at") == spot(q), F.col(value)))
-    return placed.groupBy(*keys).agg(F.max("n").alias("n"), F.avg(value).alias("mean"), pick(0.5).alias("p50"), pick(0.9).alias("p90"), pick(0.99).alias("p99"), F.max(value).alias("max"), F.sum(value).alias("sum"))
+    """n, mean, p50, p90, p99, max, sum per key; percentiles are the values at the half-even rounded index q(n-1).
+
+    Equal values are counted first, then ranges of (key, value) are numbered side by side: no task sorts a whole key.
+    """
+    counts = rows.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    placed = running(counts, [*keys, value], "_n", "statistics")
+    total = F.sum(F.col(value) * F.col("_n"))
+    of = placed.groupBy(*keys).agg(F.sum("_n").alias("n"), F.min("before").alias("_base"), (total / F.sum("_n")).alias("mean"), F.max(value).alias("max"), total.alias("sum"))
+    at = F.col("before") - F.col("_base")
+
+    def spot(q: float) -> Column:
+        index = masking.python_round_index(F.col("n"), q)
+        return F.max(F.when((at <= index) & (index < at + F.col("_n")), F.col(value)))
+
+    picked = placed.join(of.select(*keys, "n", "_base"), list(keys)).groupBy(*keys).agg(spot(0.5).alias("p50"), spot(0.9).alias("p90"), spot(0.99).alias("p99"))
+    return of.join(picked, list(keys)).select(*keys, "n", "mean", "p50", "p90", "p99", "max", "sum")
 
 
 def throughput(files: Column, seconds: Column) -> list[Column]:
@@ -37,22 +49,38 @@ def resume(inputs: DataFrame, finished: DataFrame) -> DataFrame:
 
 
 def unique_names(files: DataFrame) -> DataFrame:
-    """files (path, stem) with name: the stem, then stem_2, stem_3 and so on in path order.
+    """files (path, stem) with name: in path order the stem, or the first of stem_2, stem_3 and so on that no earlier file took.
 
-    A numbered name may be another file's stem; unique_names_of settles those on a driver's short list.
+    Stems depend on each other only where one is another, repeated one and a number (a_2 beside several a): those meet by their root,
+    the stem without its trailing numbers, and are named in path order. All others are numbered by a window.
     """
+    stems = files.groupBy("stem").agg(F.count("*").alias("_n"))
+    longer = stems.filter(F.col("stem").rlike("_[1-9][0-9]*$")).select(F.col("stem").alias("_longer"), F.regexp_replace("stem", "_[1-9][0-9]*$", "").alias("stem"))
+    pairs = longer.join(stems.filter("_n > 1"), "stem")
+    tangled = pairs.select("stem").union(pairs.select("_longer")).distinct()
     k = F.row_number().over(W.partitionBy("stem").orderBy("path"))
-    return files.withColumn("name", F.when(k == 1, F.col("stem")).otherwise(F.concat_ws("_", "stem", k.cast("string"))))
+    plain = files.join(tangled, "stem", "left_anti").withColumn("name", F.when(k == 1, F.col("stem")).otherwise(F.concat_ws("_", "stem", k.cast("string"))))
+
+    def settle(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("path", kind="stable").drop(columns="_root")
+        return group.assign(name=unique_names_of(group["stem"].tolist()))
+
+    some = files.join(tangled, "stem", "left_semi").select(*files.columns).withColumn("_root", F.regexp_replace("stem", "(_[1-9][0-9]*)+$", ""))
+    schema = T.StructType([*files.schema.fields, T.StructField("name", T.StringType())])
+    return plain.select(*files.columns, "name").unionByName(some.groupBy("_root").applyInPandas(settle, schema))
 
 
 def unique_names_of(stems: list[str]) -> list[str]:
+    """Names of stems in order; a numbered name that is taken already is passed over."""
     taken: set[str] = set()
+    used: dict[str, int] = {}
     out = []
     for stem in stems:
-        name, k = stem, 1
+        name, k = stem, used.get(stem, 1)
         while name in taken:
             k += 1
             name = f"{stem}_{k}"
+        used[stem] = k
         taken.add(name)
         out.append(name)
     return out

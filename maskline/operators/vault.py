@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
+
+from ..sources.saved import running
 
 SCHEMA = "column string, value string, number long"
 
@@ -21,17 +22,14 @@ def first_seen(values: DataFrame, *order: str) -> DataFrame:
 def extend(vault: DataFrame, values: DataFrame, *order: str) -> DataFrame:
     """New rows for a vault (column, value, number): values that it lacks, numbered after its last, in order of first sight.
 
-    Numbers come by range partitioning, not by one sorted window: each partition counts its rows per column, the counts
-    before it (a few numbers per partition and column) are added up, and each row adds its place in its partition.
+    Numbers come from one saved range partitioning, not from a sorted window: they are the same however often they are read.
     """
     new = first_seen(values, *order).join(vault.select("column", "value"), ["column", "value"], "left_anti")
     last = vault.groupBy("column").agg(F.max("number").alias("last"))
-    parted = new.repartitionByRange("column", "place").withColumn("part", F.spark_partition_id())
-    counts = parted.groupBy("column", "part").agg(F.count("*").alias("n"))
-    before = counts.withColumn("before", F.sum("n").over(W.partitionBy("column").orderBy("part").rowsBetween(W.unboundedPreceding, -1))).drop("n")
-    own = F.row_number().over(W.partitionBy("column", "part").orderBy("place"))
-    numbered = parted.withColumn("own", own).join(F.broadcast(before), ["column", "part"]).join(last, "column", "left")
-    return numbered.select("column", "value", (F.col("own") + F.coalesce("before", F.lit(0)) + F.coalesce("last", F.lit(0))).alias("number"))
+    placed = running(new.withColumn("n", F.lit(1)), ["column", "place"], "n", "vault")
+    base = placed.groupBy("column").agg(F.min("before").alias("base")).join(last, "column", "left")
+    number = F.col("before") - F.col("base") + 1 + F.coalesce("last", F.lit(0))
+    return placed.join(base, "column").select("column", "value", number.alias("number"))
 
 
 def look_up(values: DataFrame, vault: DataFrame) -> DataFrame:

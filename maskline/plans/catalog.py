@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import hashing, masking, text
 from ..operators import cascade, geometry, pixels, policy, report, vault
-from ..sources.elements import BOXES_SQL, ELEMENTS_SQL, FRAME, boxes, elements, table, tag_snapshot
+from ..sources.elements import BOXES_SQL, ELEMENTS_SQL, FRAME, ROWS, boxes, elements, table, tag_snapshot
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -225,14 +225,30 @@ JOINED_SQL = (f"{ELEMENTS_SQL}, {POLICY_SQL}, j AS (SELECT e.*, grp % 2 = 1 AS i
 _KEYED = DIGEST("v", f"'{PREFIX}' || keyword")
 
 
-@query(f"""WITH {JOINED_SQL}, x AS (SELECT file_id, path, seq, grp, elem, keyword, vr, technique, unnest(vals) AS v, generate_subscripts(vals, 1) AS k FROM j WHERE technique IS NULL OR technique <> 'suppress'),
-{scrub_steps('x', 'v')}, y AS (SELECT x.* EXCLUDE (v), CASE WHEN {SKIP('x.v')} THEN x.v WHEN x.technique = 'hash' AND {UID_IN.replace('grp', 'x.grp').replace('elem', 'x.elem')} THEN {UID(_KEYED.replace('|| v)', '|| x.v)').replace('keyword', 'x.keyword'))}
- WHEN x.technique = 'hash' THEN substr({_KEYED.replace('|| v)', '|| x.v)').replace('keyword', 'x.keyword')}, 1, coalesce({WIDTHS.replace('CASE vr', 'CASE x.vr')}, 64)) WHEN x.technique = 'mask' THEN substr(x.v, 1, 4) || '0000' || substr(x.v, 9)
- WHEN x.technique = 'scrub' THEN s7.v ELSE x.v END AS v FROM x JOIN s7 USING (file_id, seq, k))
-SELECT file_id, seq, any_value(path) AS path, any_value(keyword) AS keyword, string_agg(v, '\\' ORDER BY k) AS value FROM y GROUP BY file_id, seq""")
+_SHAPE = "regexp_replace(regexp_replace(regexp_replace({0}, '[A-Z]', 'A'{1}), '[a-z]', 'a'{1}), '[0-9]', '0'{1})"
+
+
+def _shape(c):
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(c, "[A-Z]", "A"), "[a-z]", "a"), "[0-9]", "0")
+
+
+#: The text the fixed policy works on: several values are a printed list.
+_LIST = "trim(CASE WHEN len(vals) > 1 THEN '[' || array_to_string(list_transform(vals, lambda v: chr(39) || v || chr(39)), ', ') || ']' ELSE vals[1] END)"
+
+
+@query(f"""WITH {JOINED_SQL}, x AS (SELECT * EXCLUDE (vals), array_to_string(vals, '\\') AS was, {_LIST} AS v FROM j WHERE technique IS NULL OR technique <> 'suppress'), {scrub_steps('x', 'v')},
+tok AS (SELECT v, row_number() OVER (ORDER BY min((file_id, seq))) AS n FROM x WHERE technique = 'tokenise' GROUP BY v),
+y AS (SELECT x.file_id, x.seq, x.path, x.keyword, x.technique, x.was, x.v, {SKIP('x.v')} AS skip, tok.n, s7.v AS scrubbed, {DIGEST('x.v', repr(PREFIX) + ' || x.keyword')} AS d, x.vr, x.grp, x.elem FROM x JOIN s7 USING (file_id, seq) LEFT JOIN tok ON x.technique = 'tokenise' AND tok.v = x.v),
+z AS (SELECT *, CASE WHEN technique IS NULL OR technique = 'retain' OR skip THEN was WHEN technique = 'hash' AND ({UID_IN} OR vr = 'UI') THEN {UID('d')} WHEN technique = 'hash' THEN substr(d, 1, coalesce({WIDTHS}, 64))
+ WHEN technique = 'mask' THEN substr(v, 1, 4) || '0000' || substr(v, 9) WHEN technique = 'scrub' THEN scrubbed WHEN technique = 'tokenise' THEN 'TK-' || printf('%06d', n) END AS value FROM y)
+SELECT file_id, seq, path, keyword, value, CASE WHEN technique = 'charcloak' THEN {_SHAPE.format('was', ", 'g'")} END AS shape,
+ CASE WHEN technique IN ('hash', 'charcloak', 'tokenise') AND NOT skip THEN true WHEN technique IN ('mask', 'scrub') THEN value <> was ELSE false END AS changed FROM z""")
 def fixed_policy_rewrite(spark, sf_dir):
-    done = policy.fixed_rewrite(elements(spark, sf_dir), policy.fixed_policy(spark), PREFIX)
-    return done.select("file_id", "seq", "path", "keyword", F.array_join("vals", "\\").alias("value"))
+    """What the fixed policy leaves; of values drawn at random the shape, and for all whether they differ from what they were."""
+    e, p = elements(spark, sf_dir), policy.fixed_policy(spark)
+    done = policy.fixed_rewrite(e.withColumn("was", F.array_join("vals", "\\")), p, PREFIX, policy.mint_tokens(e, p), MASTER)
+    value, drawn = F.array_join("vals", "\\"), F.col("keyword") == "VisitComments"
+    return done.select("file_id", "seq", "path", "keyword", F.when(~drawn, value).alias("value"), F.when(drawn, _shape(value)).alias("shape"), (value != F.col("was")).alias("changed"))
 
 
 AUDIT_SQL = f"""{JOINED_SQL}, audit AS (SELECT file_id, seq, printf('(%04X,%04X)', grp, elem) AS tag, CASE WHEN is_private THEN '(private)' ELSE keyword END AS field, technique,
@@ -271,14 +287,16 @@ def config_policy_audit(spark, sf_dir):
     return policy.config_audit(elements(spark, sf_dir), JOB)
 
 
-@query(f"""WITH {JOINED_SQL} SELECT file_id, seq, keyword, CASE WHEN keyword = 'PatientName' OR technique IS NULL THEN 'kept' ELSE technique END AS outcome FROM j
- WHERE (technique IS NULL OR technique <> 'suppress' OR keyword = 'PatientName') AND keyword IN ('PatientName', 'PatientID', 'StudyDate')""")
+@query(f"""WITH {AUDIT_SQL}, k AS (SELECT file_id, seq, '(0010,0010)' AS tag, 'PatientName' AS field, 'preserved' AS technique, 'kept' AS action, false AS changed FROM j WHERE keyword = 'PatientName' AND path = '')
+SELECT file_id, seq, tag, field, technique, action, action NOT IN ('skipped-empty', 'retained') AS changed, '' AS value FROM audit WHERE tag <> '(0010,0010)'
+UNION ALL SELECT k.*, array_to_string(j.vals, '\\') FROM k JOIN j USING (file_id, seq)""")
 def preserve_tags(spark, sf_dir):
+    """The audit with a preserved tag, and that tag's value after the rewrite and its restoration."""
     e, p = elements(spark, sf_dir), policy.fixed_policy(spark)
-    kept = policy.preserve(e, policy.fixed_rewrite(e, p, PREFIX), ["PatientName"]).select("file_id", "seq", "keyword", F.array_join("vals", "\\").alias("now"))
-    was = e.select("file_id", "seq", F.array_join("vals", "\\").alias("was"), "grp", "elem").join(F.broadcast(p), ["grp", "elem"], "left")
-    both = kept.filter(F.col("keyword").isin("PatientName", "PatientID", "StudyDate")).join(was, ["file_id", "seq"])
-    return both.select("file_id", "seq", "keyword", F.when(F.col("now") == F.col("was"), "kept").otherwise(F.col("technique")).alias("outcome"))
+    audit = policy.preserve_audit(policy.fixed_audit(e, p), e, ["PatientName"])
+    rewritten = policy.fixed_rewrite(e, p, PREFIX, policy.mint_tokens(e, p), MASTER)
+    kept = policy.preserve(e, rewritten, ["PatientName"]).filter("keyword = 'PatientName' and path = ''").select("file_id", "seq", F.array_join("vals", "\\").alias("value"))
+    return audit.join(kept, ["file_id", "seq"], "left").withColumn("value", F.coalesce("value", F.lit("")))
 
 
 @query(f"SELECT o_orderkey AS file_id, {UID(DIGEST('CAST(o_orderkey AS VARCHAR)', repr(KEY)))} AS header_uid FROM orders")
@@ -298,9 +316,15 @@ def pii_pattern_flags(spark, sf_dir):
     return texts(spark, sf_dir).agg(*[F.count_if(text.has_pattern(F.col("text"), n)).alias(n) for n in text.PATTERNS])
 
 
-@query("SELECT doc_id, " + ", ".join(f"regexp_matches(text, '(?i){text.PATTERNS[n]}') AS {n}" for n in ("phone", "abha")) + " FROM documents")
+#: Patterns without classes that the two engines see differently in scripts other than Latin.
+_FLAGGED = ("aadhaar", "abha", "phone", "date", "uhid_mrn", "age_sex", "name_prefix", "accession")
+
+
+@query("SELECT doc_id, " + ", ".join(f"regexp_matches(regexp_replace(text, '[^\\x00-\\x7F]', '_', 'g'), '(?i){text.PATTERNS[n]}') AS {n}" for n in _FLAGGED) + " FROM documents")
 def document_pattern_flags(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", *[text.has_pattern(F.col("text"), n).alias(n) for n in ("phone", "abha")])
+    """All patterns over whole documents; characters beyond ASCII stand as word characters, which both engines read alike."""
+    plain = table(spark, sf_dir, "documents").withColumn("text", F.regexp_replace("text", r"[^\x00-\x7F]", "_"))
+    return plain.select("doc_id", *[text.has_pattern(F.col("text"), n).alias(n) for n in _FLAGGED])
 
 
 @query(f"WITH {TEXTS_SQL}, {scrub_steps('texts', 'text')} SELECT file_id, text AS scrubbed FROM s7")
@@ -353,13 +377,6 @@ def token_vault_append(spark, sf_dir):
     return vault.look_up(seen.select("column", "value").distinct(), every).select("column", "value", "token")
 
 
-_SHAPE = "regexp_replace(regexp_replace(regexp_replace({0}, '[A-Z]', 'A'{1}), '[a-z]', 'a'{1}), '[0-9]', '0'{1})"
-
-
-def _shape(c):
-    return F.regexp_replace(F.regexp_replace(F.regexp_replace(c, "[A-Z]", "A"), "[a-z]", "a"), "[0-9]", "0")
-
-
 @query(f"SELECT c_custkey, {_SHAPE.format('c_name', ", 'g'")} AS shape, true AS round_trip, true AS changed FROM customer")
 def fpe_shape(spark, sf_dir):
     from ..functions.ciphers import fpe_udf
@@ -549,9 +566,7 @@ def chest_decision(spark, sf_dir):
 
 
 def _chest_rows(spark, sf_dir):
-    part = table(spark, sf_dir, "part")
-    part.createOrReplaceTempView("maskline_part")
-    return spark.sql(f"SELECT {_CHEST} FROM maskline_part")
+    return spark.sql(f"SELECT {_CHEST} FROM {{part}}", part=table(spark, sf_dir, "part"))
 
 
 @query(f"WITH c AS (SELECT {_CHEST} FROM part), r AS (SELECT *, {_REASON} AS reason FROM c) SELECT split_part(split_part(reason, ' (', 1), '=', 1) AS reason_key, count(*) AS n FROM r WHERE NOT reason LIKE 'image;%' GROUP BY 1")
@@ -584,7 +599,7 @@ def verification_states(spark, sf_dir):
     return f.select("p_partkey", pixels.verification(F.col("a"), F.col("e"), F.col("s")).alias("status"), pixels.pixel_presence(F.col("px"), F.col("geo"), F.col("samples")).alias("presence"))
 
 
-_PIVOT = ["PatientName", "PatientID", "OtherPatientNames", "StudyID", "(0009,0010)", "(6000,3000)"]
+_PIVOT = list(dict.fromkeys(w or f"({g:04X},{e:04X})" for p, g, e, w, _, _ in ROWS if not p))
 
 
 @query(f"WITH {ELEMENTS_SQL}, c AS (SELECT file_id, CASE WHEN keyword <> '' THEN keyword ELSE printf('(%04X,%04X)', grp, elem) END AS name, CASE WHEN vr = 'OW' THEN '<' || CAST(strlen(array_to_string(vals, '\\')) AS VARCHAR) || ' bytes>' ELSE array_to_string(vals, '\\') END AS cell FROM elements WHERE path = '') "
@@ -654,14 +669,10 @@ def pixel_descriptors(spark, sf_dir):
 @query("""WITH s AS (SELECT event_type AS "column", CAST(user_id AS VARCHAR) AS value, min(struct_pack(a := ts, b := event_id)) AS k FROM events GROUP BY ALL)
 SELECT "column", value, 'TK-' || printf('%06d', row_number() OVER (PARTITION BY "column" ORDER BY k)) AS token FROM s""")
 def stream_ingest_tokens(spark, sf_dir):
-    import shutil
-    import tempfile
-
+    from ..sources.saved import new_folder
     from ..streaming.ingest import ingest
 
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
-    root = f"{folder.rstrip('/')}/maskline-stream-{spark.sparkContext.applicationId}-{abs(hash(sf_dir))}-{id(object())}"
-    shutil.rmtree(root.removeprefix("file:"), ignore_errors=True)
+    root = new_folder(spark, "stream")
     events = table(spark, sf_dir, "events")
     stream = spark.readStream.schema(events.schema).option("pathGlobFilter", "*.parquet").parquet(f"{sf_dir}/events.parquet" if _is_folder(spark, f"{sf_dir}/events.parquet") else f"{sf_dir}/events*")
     ingest(stream.select(F.col("event_type").alias("column"), F.col("user_id").cast("string").alias("value"), "ts", "event_id"), f"{root}/vault", f"{root}/checkpoint", "ts", "event_id")

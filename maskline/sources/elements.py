@@ -46,6 +46,8 @@ ROWS = [
     ("0010,1002[0]", 0x0010, 0x0020, "PatientID", "LO", "CAST(o_custkey AS STRING)"),
     ("", 0x0020, 0x0010, "StudyID", "SH", "CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE concat('S', CAST(o_orderkey % 1000 AS STRING)) END"),
     ("", 0x6000, 0x3000, "", "OW", "'overlay'"),
+    ("", 0x0038, 0x4000, "VisitComments", "LT", "concat('Seen ', c_name)"),
+    ("", 0x0010, 0x1000, "OtherPatientIDs", "LO", "concat('A', CAST(o_custkey AS STRING), '\\', CAST(o_orderkey AS STRING))"),
 ]
 
 

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__
+from maskline.functions import hashing, masking, text
 from maskline.operators import cascade, geometry, pixels, policy, report, vault
 from maskline.plans import catalog
 
@@ -37,8 +38,13 @@ def test_fixed_policy_has_its_counts():
     assert counts == {"suppress": 53, "hash": 24, "retain": 14, "mask": 7, "scrub": 3, "charcloak": 2, "tokenise": 1}
 
 
+def fixed(spark, record, rows=None):
+    p = policy.fixed_policy(spark) if rows is None else spark.createDataFrame(rows, "grp int, elem int, technique string")
+    return policy.fixed_rewrite(record, p, "k:", policy.mint_tokens(record, p), "master")
+
+
 def test_fixed_rewrite(spark, record):
-    done = {r["seq"]: r["vals"] for r in policy.fixed_rewrite(record, policy.fixed_policy(spark), "k:").collect()}
+    done = {r["seq"]: r["vals"] for r in fixed(spark, record).collect()}
     assert 0 not in done and 3 not in done and 4 not in done and 8 not in done and 10 not in done
     assert done[1] == ["  "] and done[5] == ["19780000"] and done[6] == ["32"] and done[7] == ["F"]
     assert done[2][0].startswith("2.25.") and len(done[9][0]) == 64
@@ -46,6 +52,71 @@ def test_fixed_rewrite(spark, record):
     assert audit[0] == "deleted" and audit[1] == "skipped-empty" and audit[3] == "deleted-private-tag" and audit[7] == "retained" and 6 not in audit
 
 
+def test_every_technique_changes_its_values(spark):
+    techniques = ["hash", "mask", "scrub", "charcloak", "tokenise", "encrypt", "encrypt_fpe"]
+    record = spark.createDataFrame([element(k, 0x10, 0x100 + k, f"Tag{k}", "LO", ["19780412 MRN:778899 Jane"]) for k in range(8)] + [element(8, 0x10, 0x100, "Tag0", "LO", ["A1", "B2"]), element(9, 0x10, 0x104, "Tag4", "LO", [" nan "])], ELEMENT)
+    rows = [(0x10, 0x100 + k, t) for k, t in enumerate([*techniques, "no such technique"])]
+    done = {r["seq"]: r["vals"] for r in fixed(spark, record, rows).collect()}
+    assert all(done[k] != ["19780412 MRN:778899 Jane"] for k in range(7)) and done[7] == ["19780412 MRN:778899 Jane"]
+    assert done[4] == ["TK-000001"] and done[5][0].startswith("ENC$") and len(done[6][0]) == 24 and done[9] == [" nan "]
+    assert done[8] == [hashing_of("k:Tag0", "['A1', 'B2']")]
+    actions = {r["seq"]: r["action"] for r in policy.fixed_audit(record, spark.createDataFrame(rows, "grp int, elem int, technique string")).collect()}
+    assert [actions[k] for k in range(10)] == ["transformed"] * 7 + ["unchanged", "transformed", "skipped-empty"]
+
+
+def hashing_of(key, value):
+    import hashlib
+
+    one = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    return one(key + one(key + value))
+
+
+def test_a_value_without_a_token_does_not_pass(spark):
+    record = spark.createDataFrame([element(0, 0x8, 0x50, "AccessionNumber", "SH", ["ACC123"])], ELEMENT)
+    with pytest.raises(Exception, match="no token"):
+        policy.fixed_rewrite(record, policy.fixed_policy(spark), "k:", spark.createDataFrame([], vault.SCHEMA), "master").collect()
+
+
+def test_plans_stay_small(spark):
+    """Expressions grow with their steps: no value is named so often that its computation doubles."""
+    size = lambda df, what: df._jdf.queryExecution().analyzed().toString().count(what)
+    rows = spark.createDataFrame([("x",)], "v string")
+    assert size(rows.select(masking.scrub(F.col("v"), text.SCRUB_PATTERNS).alias("o")), "regexp_extract_all") <= 8
+    assert size(rows.select(hashing.keyed_uid(F.col("v"), F.lit("k")).alias("o")), "sha2") <= 2
+    assert size(rows.select(hashing.xor_encrypt(F.col("v"), "master", "c").alias("o")), "sha2") <= 2
+    assert size(catalog.QUERIES["fixed_policy_rewrite"](spark, SF), "regexp_extract_all") <= 16
+    assert size(catalog.QUERIES["rule_cascade"](spark, SF), "Join") <= 2
+    px = spark.createDataFrame([([1, 2, 3],)], "px array<int>")
+    assert size(px.select(pixels.percentile_stretch(F.col("px")).alias("o")), "array_sort") <= 1
+
+
+def test_names_skip_taken_stems(spark):
+    rng = random.Random(3)
+    stems = [rng.choice(["a", "a_2", "a_2_2", "a_3", "b", "IMG_01", "IMG_02", "c_2"]) for _ in range(60)]
+    frame = spark.createDataFrame(list(enumerate(stems)), "path long, stem string")
+    got = {r["path"]: r["name"] for r in report.unique_names(frame).collect()}
+    assert [got[k] for k in range(60)] == report.unique_names_of(stems) and len(set(got.values())) == 60
+
+
+def test_merges_settle(spark):
+    """On random boxes: nothing that a merge left fits together any more, and every box lies in what it went to."""
+    rng = random.Random(4)
+    test = geometry._merging_test()
+    for _ in range(300):
+        boxes = [[x := rng.randrange(120), y := rng.randrange(90), x + rng.randrange(1, 60), y + rng.randrange(1, 30)] for _ in range(rng.randrange(0, 12))]
+        texts = [rng.choice(["CXR", "L26", "JANE", "DOE X", ""]) for _ in boxes]
+        out = geometry.lines([(t, b, 0.5, test(t)) for t, b in zip(texts, boxes)])
+        assert sorted(" ".join(t for t, _, _ in out).split()) == sorted(" ".join(texts).split())
+        assert all(any(o[0] <= b[0] and o[1] <= b[1] and o[2] >= b[2] and o[3] >= b[3] for _, o, _ in out) for b in boxes)
+        ordered = [geometry.Found(t, b, c, b, test(t)) for t, b, c in out]
+        assert not any(geometry._on_one_line(a, b) for k, a in enumerate(ordered) for b in ordered[k + 1 :])
+        regions = geometry.close_regions(boxes)
+        apart = lambda a, b: a[0] - 8 >= b[2] or b[0] >= a[2] + 8 or a[1] - 8 >= b[3] or b[1] >= a[3] + 8
+        assert all(apart(a, b) for k, a in enumerate(regions) for b in regions[k + 1 :])
+        merged = geometry.greedy([(t, b, rng.random()) for t, b in zip(texts, boxes)])
+        assert all(any(o[0] <= b[0] and o[1] <= b[1] and o[2] >= b[2] and o[3] >= b[3] for _, o, _ in merged) for b in boxes)
+
+
 def test_config_rewrite(record):
     job = policy.parse_job({"dicom_deidentify": {"tag_actions": {
         "PatientName": {"action": "suppress"}, "Rows": {"action": "suppress"}, "OtherPatientNames": {"action": "hashing_with_salt"}, "PatientBirthDate": {"action": "masking", "characters_to_mask": [5, 6, 7, 8]},
@@ -72,7 +143,7 @@ def test_job_notes_unknown_keywords():
 
 
 def test_preserved_tags_come_back(spark, record):
-    done = policy.preserve(record, policy.fixed_rewrite(record, policy.fixed_policy(spark), "k:"), ["PatientName"])
+    done = policy.preserve(record, fixed(spark, record), ["PatientName"])
     assert [r["vals"] for r in done.filter("keyword = 'PatientName'").collect()] == [["DOE^JANE"]]
 
 
@@ -183,6 +254,19 @@ def test_entry(spark):
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
 
 
+def test_entry_without_the_optional_parts(tmp_path):
+    """A copy without the training-data folders, with the pipeline module left behind, still imports and lists its queries."""
+    import shutil
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parents[1]
+    shutil.copytree(root, tmp_path / "copy", ignore=shutil.ignore_patterns(".git", "llm", "__pycache__", "*.parquet"))
+    code = "import __spark_entry__ as e; assert len(e.queries()) > 60 and not any(q.startswith('op') and q[2].isdigit() for q in e.queries()) and 'pipeline' not in e.queries() and e.oracle_sql()"
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "copy", check=True, env={"PATH": __import__("os").environ["PATH"], "PYTHONPATH": ""})
+
+
 def test_string_map(spark):
     rows = spark.createDataFrame([('{"a": "x", "b": 5, "c": "5", "d": null, "e": {"f": "g"}}',), ("{}",), ("nonsense",)], "d string")
     got = [r[0] for r in rows.select(report.string_map(F.col("d"))).collect()]
