@@ -319,6 +319,53 @@ def test_block_max_search_is_exact():
             assert [round(s, 9) for s, _ in found] == [s for s, _ in want]
 
 
+def test_toxicity_query_against_brute_force(spark):
+    """Neighbours, cosines and votes of every document, with idf over all documents, from plain dictionaries; scores rise with the votes."""
+    import math
+    from collections import Counter
+
+    rng = random.Random(8)
+    rows = [(i, words(rng, rng.randint(0, 12)) + (" mudwit" if i % 4 == 0 else "")) for i in range(260)] + [(260, None), (261, "only here")]
+    labels = {i: int(i % 4 == 0 or i % 37 == 0) for i in range(0, 200)}
+    got = {r["doc_id"]: r for r in toxicity.toxicity(frame(spark, rows), spark.createDataFrame(list(labels.items()), "doc_id long, toxic int")).collect()}
+    counts = {i: Counter((t or "").lower().split()) for i, t in rows}
+    train = sorted(i for i in labels if zlib.crc32(str(i).encode()) % 4 != 2)
+    df = Counter(t for c in counts.values() for t in c)
+    seen, bad = Counter(t for i in train for t in counts[i]), Counter(t for i in train if labels[i] for t in counts[i])
+    n, n1 = len(train), sum(labels[i] for i in train)
+
+    def g(t):
+        cells = [(bad[t], seen[t] * n1 / n), (seen[t] - bad[t], seen[t] * (n - n1) / n), (n1 - bad[t], (n - seen[t]) * n1 / n), (n - n1 - seen[t] + bad[t], (n - seen[t]) * (n - n1) / n)]
+        return max(0.0, sum(2 * o * math.log(o / e) for o, e in cells if o > 0))
+
+    def unit(c):
+        w = {t: (1 + math.log(k)) * (math.log((1 + len(rows)) / (1 + df[t])) + 1) * (1 + g(t)) for t, k in c.items() if t in seen}
+        norm = math.sqrt(sum(x * x for x in w.values()))
+        return {t: x / norm for t, x in w.items()}
+
+    units = {i: unit(counts[i]) for i in counts}
+    share = sum(labels[i] for i in train if units[i]) / sum(bool(units[i]) for i in train)
+    votes = {}
+    for i, u in units.items():
+        near = sorted((-sum(w * units[j].get(t, 0) for t, w in u.items()), j) for j in train if units[j])
+        near = [(-s, j) for s, j in near if s < 0][:25]
+        assert np.allclose([s for s, _ in near], [x["cosine"] for x in got[i]["neighbours"]])
+        assert all(abs(sum(w * units[x["id"]].get(t, 0) for t, w in u.items()) - x["cosine"]) < 1e-9 and x["label"] == labels[x["id"]] for x in got[i]["neighbours"])
+        if near:
+            votes[i] = (sum(s * x["label"] for s, x in zip([s for s, _ in near], got[i]["neighbours"])) + 0.5 * share) / (sum(s for s, _ in near) + 0.5)
+    order = sorted(votes, key=votes.get)
+    assert all(got[a]["score"] <= got[b]["score"] + 1e-9 for a, b in zip(order, order[1:])) and len({got[i]["score"] for i in order}) > len(order) // 2
+
+
+def test_toxicity_of_nothing_and_of_labels_of_one_kind(spark):
+    labels = spark.createDataFrame([(i, 0) for i in range(9)], "doc_id long, toxic int")
+    assert toxicity.toxicity(frame(spark, []), labels).collect() == []
+    one = toxicity.toxicity(frame(spark, [(i, "same words") for i in range(9)] + [(9, None)]), labels).collect()
+    assert all(r["score"] < 0.3 and r["predicted"] == 0 for r in one)
+    few = toxicity.toxicity(frame(spark, [(i, f"word{i} other") for i in range(40)]), spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int"), most=10, pairs=7).collect()
+    assert max(len(r["neighbours"]) for r in few) <= 3 and len(few) == 40
+
+
 def test_word_encoder_and_packing(spark, corpus):
     from tokenizers import Tokenizer
 
