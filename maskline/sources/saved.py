@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,14 +43,14 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def running(rows: DataFrame, order: list[str], n: str, name: str = "running") -> DataFrame:
-    """rows, saved, with before: the sum of n over all rows that come earlier in order.
+def running(rows: DataFrame, order: list[str], n: str, name: str = "running", save: Callable[[DataFrame, str], DataFrame] = saved) -> DataFrame:
+    """rows, saved (by save), with before: the sum of n over all rows that come earlier in order.
 
     Rows are range-partitioned once and saved as they lie; each partition sums up its own rows, and one total per partition is
     added up over partitions. No task sees more than one range.
     """
     numbered = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_mid", F.monotonically_increasing_id())
-    numbered = saved(numbered, name).withColumn("_part", F.shiftright("_mid", 33))
+    numbered = save(numbered, name).withColumn("_part", F.shiftright("_mid", 33))
     totals = numbered.groupBy("_part").agg(F.sum(n).alias("_total"))
     offsets = totals.select("_part", F.coalesce(F.sum("_total").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_offset"))
     own = F.coalesce(F.sum(n).over(W.partitionBy("_part").orderBy("_mid").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
