@@ -46,9 +46,9 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per document: digest of its text without later copies of runs of two or more lines, and what was cut."""
+    """Per document: digest of its text without later copies of runs of two or more lines, what was cut, and its longest run found elsewhere too."""
     found = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+    return found.select("doc_id", "n_lines", "n_removed", "n_runs", "longest", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
 OP7_SQL = """
@@ -64,10 +64,16 @@ WITH l AS (
   SELECT l.*, g.pos IS NOT NULL AS cut FROM l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.pos = g.pos
 ), runs AS (
   SELECT *, cut AND NOT coalesce(lag(cut) OVER (PARTITION BY doc_id ORDER BY pos), false) AS starts FROM marked
+), alike AS (
+  SELECT a.doc_id, b.doc_id AS other, a.pos, a.pos - b.pos AS shift FROM l a JOIN l b ON a.line = b.line AND (a.doc_id <> b.doc_id OR a.pos <> b.pos)
+), islands AS (
+  SELECT doc_id, other, shift, pos - row_number() OVER (PARTITION BY doc_id, other, shift ORDER BY pos) AS island FROM alike
+), longest AS (
+  SELECT doc_id, max(n) AS longest FROM (SELECT doc_id, count(*) AS n FROM islands GROUP BY doc_id, other, shift, island) GROUP BY doc_id
 )
-SELECT doc_id, count(*) AS n_lines, count_if(cut) AS n_removed, count_if(starts) AS n_runs,
+SELECT r.doc_id, count(*) AS n_lines, count_if(cut) AS n_removed, count_if(starts) AS n_runs, coalesce(any_value(longest), 0) AS longest,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT cut), '')) AS kept_sha256
-FROM runs GROUP BY doc_id
+FROM runs r LEFT JOIN longest g ON r.doc_id = g.doc_id GROUP BY r.doc_id
 """
 
 
