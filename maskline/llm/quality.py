@@ -3,22 +3,24 @@
 Tokens are runs of word characters and runs of marks. Features are unigrams and bigrams of tokens, and unigrams, bigrams
 and trigrams of token forms (case and length class of words, the marks themselves, "=" for a token equal to the one
 before it), all hashed into BUCKETS. Two generative models, smoothed bucket shares, are counted: target from the rows
-labelled 1, raw from all rows. A document's log weight is its mean log ratio target / raw over its features, times
-min(features, WEIGHT_CAP): long texts are told by their average, short ones weigh less than long.
+labelled 1, raw from all rows. A document's log weight is the sum of
+its features' log ratios target / raw. SMOOTHING is added to every bucket at the size of the target sample, so that a bucket of which that
+sample can say little weighs little.
 
-Resampling: key = log weight / TEMPERATURE + Gumbel noise (from a hash of the row's id, so a retry draws the same), and
-the k rows of largest key stay. k is the number of rows that lie at or above a cut, the one that best tells the
-labelled rows apart (errors on good rows cost GOOD_COST times those on bad ones). Labels are used from at most about
+Resampling: key = log weight + Gumbel noise (from a hash of the row's id, so a retry draws the same), and the k rows of largest key
+stay: draws without replacement in proportion to the weights. k is `keep` times the rows; where keep is not given, as many as the
+target model explains better than the raw one (weight above 0). Labels are used from at most about
 MOST_LABELS ids, those of lowest hash, so their side of a join is bounded; raw counts and scores cover every row. The k-th key is found by
 counting in ever narrower bins, never by a global sort.
 
-Defined results: null and empty texts have no features, weight 0; they stay only if the cut is at or below 0. Without
-rows labelled 0, or without rows labelled 1, nothing is rejected. Labels of unknown ids and null labels are ignored; several
-labels of an id count as its largest. Ties at the k-th key all stay. An empty table gives an empty result.
+Defined results: null and empty texts have no features, weight 0. Without rows labelled 0, or without rows labelled 1, nothing is rejected
+unless keep is given. Labels of unknown ids and null labels are ignored; several labels of an id count as its largest. Ties at the k-th key
+all stay; rows with equal ids draw the same noise. An empty table gives an empty result; extra columns are not read.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections.abc import Iterator
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 from .storage import Workspace, free_name, sized
 
 BUCKETS = 1 << 16
-SMOOTHING, WEIGHT_CAP, TEMPERATURE, GOOD_COST, SEED = 1.0, 200, 0.1, 4.0, 17
+SMOOTHING, SEED = 50.0, 17
 MOST_LABELS = 200_000
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 CACHE_TOKENS = 300_000
@@ -40,7 +42,7 @@ CACHE_TOKENS = 300_000
 
 def _form(token: str) -> str:
     if not (token[0].isalnum() or token[0] == "_"):
-        return token[:3]
+        return "".join(sorted(set(token))) + str(sum(len(token) > n for n in (1, 2, 3, 7, 20)))
     case = "d" if token.isdigit() else "l" if token.islower() else "T" if token.istitle() else "U" if token.isupper() else "m"
     return case + str(sum(len(token) > n for n in (1, 2, 4, 7, 12, 20)))
 
@@ -78,14 +80,13 @@ def features_of_worker() -> Features:
 
 
 def log_ratio(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
-    """Per bucket, log of the smoothed target share over the smoothed raw share."""
-    p = (target + SMOOTHING) / (target.sum() + SMOOTHING * len(target))
-    q = (raw + SMOOTHING) / (raw.sum() + SMOOTHING * len(raw))
-    return np.log(p) - np.log(q)
+    """Per bucket, log of the smoothed target share over the smoothed raw share, both at the size of the target sample."""
+    size = target.sum()
+    return np.log(target + SMOOTHING) - np.log(raw * (size / max(raw.sum(), 1)) + SMOOTHING)
 
 
 def weight(features: np.ndarray, ratio: np.ndarray) -> float:
-    return float(ratio[features].mean() * min(len(features), WEIGHT_CAP)) if len(features) else 0.0
+    return float(ratio[features].sum())
 
 
 def sampled_labels(labels: DataFrame, doc_id: str = "doc_id", quality: str = "quality", most: int = MOST_LABELS) -> DataFrame:
@@ -122,20 +123,12 @@ def fit(rows: DataFrame) -> np.ndarray:
     return log_ratio(target, raw)
 
 
-def _best_cut(scores: DataFrame) -> float | None:
-    """The weight that best tells labels 1 and 0 apart, halfway into the best gap; None without both. Counts per unit of weight only."""
-    bins = scores.filter("label in (0, 1)").groupBy(F.floor("weight").alias("w"), "label").agg(F.count("*").alias("n")).collect()
-    if len({r["label"] for r in bins}) < 2:
-        return None
-    units = sorted({r["w"] for r in bins})
-    n = {(r["w"], r["label"]): r["n"] for r in bins}
-    cost = sum(v for (_, label), v in n.items() if label == 0)  # cut below all
-    costs = [(cost, units[0], units[0] - 1)]
-    for k, w in enumerate(units):  # cut above unit w: its good rows go, its bad rows no longer stay
-        cost += GOOD_COST * n.get((w, 1), 0) - n.get((w, 0), 0)
-        costs.append((cost, units[k + 1] if k + 1 < len(units) else w + 1, w + 1))
-    _, above, below = min(costs, key=lambda c: c[0])
-    return (above + below) / 2
+def kept_rows(scores: DataFrame, keep: float | None) -> int:
+    """How many rows stay: keep times the rows, or as many as have a weight above 0."""
+    n = scores.agg(F.count("*").alias("n"), F.count_if(F.col("weight") > 0).alias("above"), F.count_if(F.col("label") == 1).alias("good"), F.count_if(F.col("label") == 0).alias("bad")).first()
+    if keep is not None:
+        return min(n["n"], math.ceil(keep * n["n"] - 1e-9))
+    return n["above"] if n["good"] and n["bad"] else n["n"]
 
 
 def _kth_largest(keys: DataFrame, k: int) -> float:
@@ -153,7 +146,7 @@ def _kth_largest(keys: DataFrame, k: int) -> float:
     return low
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, work: Workspace, text: str = "text", doc_id: str = "doc_id", rid: str | None = None) -> DataFrame:
+def quality_scores(docs: DataFrame, labels: DataFrame, work: Workspace, text: str = "text", doc_id: str = "doc_id", rid: str | None = None, keep: float | None = None) -> DataFrame:
     """One saved row per input row: rid, doc_id, weight (log importance weight), key, kept."""
     plain = docs.select((F.col(rid) if rid else F.monotonically_increasing_id()).alias("rid"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     known = work.save(sampled_labels(labels), "labels")
@@ -168,19 +161,18 @@ def quality_scores(docs: DataFrame, labels: DataFrame, work: Workspace, text: st
 
     uniform = (F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(SEED)), 11) + 0.5) / float(1 << 53)
     scores = work.save(rows.mapInArrow(score, "rid long, doc_id long, label int, weight double")
-                       .withColumn("key", F.col("weight") / TEMPERATURE - F.log(-F.log(uniform))), "scores")
-    cut = _best_cut(scores)
-    k = 0 if cut is None else scores.filter(F.col("weight") >= cut).count()
-    kept = F.lit(cut is None) if not k else F.col("key") >= _kth_largest(scores, k)
+                       .withColumn("key", F.col("weight") - F.log(-F.log(uniform))), "scores")
+    k = kept_rows(scores, keep)
+    kept = F.lit(False) if not k else F.col("key") >= _kth_largest(scores, k)
     return scores.select("rid", "doc_id", "weight", "key", kept.alias("kept"))
 
 
-def drop_low_quality(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", work: Workspace | None = None) -> DataFrame:
+def drop_low_quality(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", work: Workspace | None = None, keep: float | None = None) -> DataFrame:
     """docs without the rows that quality_scores rejects; columns as they were."""
     work = work or Workspace(docs.sparkSession, "quality-rows")
     (rid,) = free_name(docs, "row_number")
     held = work.save(docs.withColumn(rid, F.monotonically_increasing_id()), "held")
-    scores = quality_scores(held, labels, work, text, doc_id, rid)
+    scores = quality_scores(held, labels, work, text, doc_id, rid, keep)
     gone = work.save(scores.filter("not kept").select(F.col("rid").alias(rid)), "gone")
     work.only(held, gone)
     return held.join(sized(gone, gone.count(), 16), rid, "left_anti").drop(rid)
