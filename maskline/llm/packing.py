@@ -36,7 +36,7 @@ CACHE_WORDS, LONGEST_WORD = 600_000, 48
 
 #: Marks that are a token of their own after letters.
 MARKS = frozenset(".,!?;:|")
-#: White space to Python but not to the tokenizer; a text with any of these is encoded in one go.
+#: White space to Python but not to the tokenizer; a text with any of these is encoded in one go, as is one with a special token written out.
 ODD_SPACE = re.compile("[\x1c-\x1f]")
 #: Characters that lower-case and compose one by one, whatever stands beside them.
 PLAIN = re.compile("[\x00-įı-ǯǱ-˿]*")
@@ -55,7 +55,9 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # a special token written out in a text is that token, wherever it stands: such texts are encoded in one go
+        marks = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, marks)) or r"(?!)", re.IGNORECASE)
         vocab = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
@@ -107,7 +109,7 @@ class WordEncoder:
     def encode_all(self, texts: Iterable[str]) -> Iterator[bytes]:
         """The ids of each text, in order."""
         for text in texts:
-            if ODD_SPACE.search(text):
+            if ODD_SPACE.search(text) or self.special.search(text):
                 yield self._ids([text])[0]
                 continue
             words, out = iter(text.split()), []
