@@ -2,10 +2,12 @@
 
 A gear hash rolls over the UTF-8 bytes: h = 2h + G[byte], in 32 bits, so it depends on the last 32 bytes only. A chunk ends
 after a byte whose hash has its top MASK_BITS bits zero, is at least LEAST and at most MOST bytes long, and is known by the
-128-bit XXH3 digest of its bytes. Chunk ends depend on content, so an insertion shifts them only nearby. Of equal chunks the
+128-bit XXH3 digest of its bytes. Where no such byte comes in time, it ends at the least hash in the second half of what it may have, so
+even text that repeats itself is cut by content. Chunk ends depend on content, so an insertion shifts them only nearby. Of equal chunks the
 first (smallest id, then row, then place) stays. Later copies side by side are a run; every run, of one chunk too, is widened
-byte by byte, by up to REACH bytes a side, as far as it agrees with what stands beside the first copies of its outer
-chunks, and goes if it then has at least `least_run` bytes; shorter ones are chance repeats and stay. Decisions are taken
+byte by byte as far as it agrees with what stands beside the first copies of its outer
+chunks (runs that agree all of REACH bytes are looked at again over whole texts), and goes if it then has at least `least_run`
+bytes; shorter ones are chance repeats and stay. Decisions are taken
 on the input as it is, and always against an earlier place, so one copy of every passage stays.
 
 Defined results: null text stays null and has no chunks; empty text has none; a removed edge that would split a UTF-8
@@ -50,20 +52,21 @@ def cut_points(text: bytes) -> list[int]:
     n = len(text)
     if not n:
         return []
-    marks = (np.flatnonzero(gear_hashes(np.frombuffer(text, np.uint8)) < np.uint32(1 << (32 - MASK_BITS))) + 1).tolist()
+    hashes = gear_hashes(np.frombuffer(text, np.uint8))
+    marks = (np.flatnonzero(hashes < np.uint32(1 << (32 - MASK_BITS))) + 1).tolist()
     ends, start = [], 0
-    for mark in marks:
+
+    def forced() -> int:
+        least = start + MOST // 2
+        return least + int(np.argmin(hashes[least - 1 : start + MOST]))
+
+    for mark in [*marks, n]:
         while mark - start > MOST:
-            start += MOST
+            start = forced()
             ends.append(start)
-        if mark - start >= LEAST:
+        if mark - start >= LEAST or mark == n > start:
             start = mark
             ends.append(start)
-    while n - start > MOST:
-        start += MOST
-        ends.append(start)
-    if start < n:
-        ends.append(n)
     return ends
 
 
@@ -143,28 +146,37 @@ def repeated_runs(rows: DataFrame, work: Workspace, least_run: int = LEAST_RUN)
     one = F.struct(F.col("start").alias("a"), (F.col("start") + F.col("size")).alias("b"), F.col("first_rid").alias("r"), F.col("first_start").alias("s"))
     runs = later.groupBy("rid").agg(F.sort_array(F.collect_list(one)).alias("c")).mapInArrow(_runs, "rid long, a int, b int, left_rid long, left_at int, right_rid long, right_at int")
     runs = work.save(runs, "runs")
-    n = 2 * runs.count()
     raw = F.col(text).cast("binary")
 
-    def beside(of: str, left_at: str, right_at: str, name: str) -> DataFrame:
-        """The bytes left of left_at and right of right_at in the rows that left_rid and right_rid (or rid) name."""
-        key = lambda side: F.col("rid" if of == "own" else f"{side}_rid")
-        sides = [runs.select(key(side).alias("src"), F.col(at).alias("at"), F.lit(side == "left").alias("is_left"), "rid", "a", "b") for side, at in (("left", left_at), ("right", right_at))]
-        asked = sides[0].unionByName(sides[1])
-        start = F.greatest(F.col("at") - REACH, F.lit(0))
-        near = F.when(F.col("is_left"), F.substring(raw, start + 1, F.col("at") - start)).otherwise(F.substring(raw, F.col("at") + 1, F.lit(REACH)))
-        return rows.select(F.col(rid).alias("src"), F.col(text)).join(sized(asked, n, 48), "src").select("rid", "a", "b", "is_left", near.alias(name))
+    def widened(some: DataFrame, reach: int) -> DataFrame:
+        """(rid, a, b, l, r): by how many bytes, up to reach, each run agrees with its first copies on the left and on the right."""
+        n = 2 * some.count()
 
-    both = beside("own", "a", "b", "mine").join(beside("first", "left_at", "right_at", "other"), ["rid", "a", "b", "is_left"])
+        def beside(of: str, left_at: str, right_at: str, name: str) -> DataFrame:
+            """The bytes left of left_at and right of right_at in the rows that left_rid and right_rid (or rid) name."""
+            key = lambda side: F.col("rid" if of == "own" else f"{side}_rid")
+            sides = [some.select(key(side).alias("src"), F.col(at).alias("at"), F.lit(side == "left").alias("is_left"), "rid", "a", "b") for side, at in (("left", left_at), ("right", right_at))]
+            asked = sides[0].unionByName(sides[1])
+            start = F.greatest(F.col("at") - reach, F.lit(0))
+            near = F.when(F.col("is_left"), F.substring(raw, start + 1, F.col("at") - start)).otherwise(F.substring(raw, F.col("at") + 1, F.lit(reach)))
+            return rows.select(F.col(rid).alias("src"), F.col(text)).join(sized(asked, n, 48), "src").select("rid", "a", "b", "is_left", near.alias(name))
 
-    def widen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            width = [_agree(x.as_py(), y.as_py(), left) for x, y, left in zip(batch.column(4), batch.column(5), batch.column(3).to_pylist())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(width, pa.int32())], names=["rid", "a", "b", "is_left", "wider"])
+        both = beside("own", "a", "b", "mine").join(beside("first", "left_at", "right_at", "other"), ["rid", "a", "b", "is_left"])
+
+        def widen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                width = [_agree(x.as_py(), y.as_py(), left) for x, y, left in zip(batch.column(4), batch.column(5), batch.column(3).to_pylist())]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(width, pa.int32())], names=["rid", "a", "b", "is_left", "wider"])
+
+        wide = both.select("rid", "a", "b", "is_left", "mine", "other").mapInArrow(widen, "rid long, a int, b int, is_left boolean, wider int")
+        pick = lambda left: F.max(F.when(F.col("is_left") == left, F.col("wider")))
+        return wide.groupBy("rid", "a", "b").agg(pick(True).alias("l"), pick(False).alias("r"))
 
-    wide = both.select("rid", "a", "b", "is_left", "mine", "other").mapInArrow(widen, "rid long, a int, b int, is_left boolean, wider int")
-    pick = lambda left: F.max(F.when(F.col("is_left") == left, F.col("wider")))
-    each = wide.groupBy("rid", "a", "b").agg(pick(True).alias("l"), pick(False).alias("r"))
+    each = work.save(widened(runs, REACH), "widened")
+    far = each.filter(F.greatest("l", "r") >= REACH)
+    if not far.isEmpty():
+        again = runs.join(far.select("rid", "a", "b"), ["rid", "a", "b"], "left_semi").select(*runs.columns)
+        each = each.filter(F.greatest("l", "r") < REACH).unionByName(work.save(widened(work.save(again, "far"), 1 << 30), "widened-far"))
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -204,7 +216,8 @@ def substring_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     runs = repeated_runs(held.select(F.col(rid), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), work, least_run)
     work.only(held, runs)
     runs = runs.select(F.col("rid").alias(rid), F.col("cuts").alias(cuts))
-    joined = held.join(sized(runs, runs.count(), 96), rid, "left").drop(rid)
+    size = runs.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size(cuts)), F.lit(0)).alias("spans")).first()
+    joined = held.join(sized(runs, 1, 64 * size["n"] + 32 * size["spans"]), rid, "left").drop(rid)
     at_text, at_cuts = joined.columns.index(text), joined.columns.index(cuts)
     schema = T.StructType(list(docs.schema.fields))
     span = T.ArrayType(T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.IntegerType())]))
