@@ -3,32 +3,26 @@
 from __future__ import annotations
 
 import contextlib
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.saved import filesystem, shared_dir
+
 #: A side of a join is broadcast only when its counted rows times their width stay below this.
 BROADCAST_BYTES = 32 << 20
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's spark.checkpoint.dir; where it is unset (tests, one machine), a folder made once per session."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="maskline-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder
-
-
 class Workspace:
-    """A folder of its own in the shared one, for the intermediate tables of one operator call."""
+    """A folder of its own in the shared one, for the intermediate tables of one operator call; what is left goes when the session's process ends."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
-        self.root = f"{shared_dir(spark).rstrip('/')}/maskline-{name}-{uuid.uuid4().hex[:12]}"
+        self.root = f"{shared_dir(spark)}/maskline-{name}-{uuid.uuid4().hex[:12]}"
+        system, target = filesystem(spark, self.root)
+        system.mkdirs(target)
+        system.deleteOnExit(target)
         self.made = 0
         self.saved: list[str] = []
 
@@ -46,7 +40,7 @@ class Workspace:
         """Delete every saved table but these."""
         paths = {getattr(df, "_saved_at", None) for df in kept}
         for path in [p for p in self.saved if p not in paths]:
-            self._delete(path)
+            self.delete(path)
 
     def close(self) -> None:
         """Delete every saved table."""
@@ -55,13 +49,14 @@ class Workspace:
     def drop(self, df: DataFrame) -> None:
         """Delete a saved table that no later plan reads."""
         if path := getattr(df, "_saved_at", None):
-            self._delete(path)
+            self.delete(path)
 
-    def _delete(self, path: str) -> None:
+    def delete(self, path: str) -> None:
+        """Delete a table or another folder of this workspace."""
         self.saved = [p for p in self.saved if p != path]
-        target = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        system, target = filesystem(self.spark, path)
         with contextlib.suppress(Exception):  # a leftover file costs disk, not correctness
-            target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+            system.delete(target, True)
 
 
 def sized(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:

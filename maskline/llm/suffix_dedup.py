@@ -276,8 +276,16 @@ def suffix_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", wi
 
     name = f"maskline_shards_{work.root[-12:]}"
     held = plain.mapInArrow(squeeze, "rid long, doc_id long, packed binary").withColumn("shard", F.pmod(F.xxhash64("rid"), F.lit(shards)).cast("int"))
-    held.repartition(shards, "shard").write.bucketBy(shards, "shard").option("compression", "none").saveAsTable(name)
-    texts = spark.table(name)
+    held.repartition(shards, "shard").write.bucketBy(shards, "shard").option("compression", "none").option("path", f"{work.root}/shards").saveAsTable(name)
+    try:
+        return _over_shards(spark.table(name), work, shards, ranges, with_text)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+        work.delete(f"{work.root}/shards")
+
+
+def _over_shards(texts: DataFrame, work: Workspace, shards: int, ranges: int, with_text: bool) -> DataFrame:
+    """The result of suffix_dedup from the table bucketed by shard, saved."""
 
     def anchors(group: pa.Table) -> pa.Table:
         shard = group.column("shard")[0].as_py()
@@ -461,5 +469,4 @@ def suffix_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", wi
         finish, f"rid long, doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, spans {span}")
     out = work.save(done, "result")
     work.drop(sent)
-    spark.sql(f"DROP TABLE {name}")
     return out
