@@ -7,7 +7,8 @@ is set in over half of the shingles' XXH64 hashes (seed 42).
 Search: fingerprints within `limit` bits are linked. The 64 bits are grouped, correlated bits together, into m parts with
 thresholds t_i whose sum is limit - m + 1 (so two fingerprints within the limit agree to within t_i bits on some part; a
 threshold of -1 leaves a part out). For each m, dynamic programming over the parts picks the thresholds of least cost:
-probes, plus candidates estimated from each bit's share of ones over all fingerprints; the cheapest m is used. Each
+probes, plus candidates estimated from pairs of up to SAMPLED fingerprints, so correlated bits count as they are, and for chances
+too small for that sample from each bit's share of ones over all fingerprints; the cheapest m is used. Each
 distinct fingerprint probes every value within t_i bits of its own; those that meet are verified. Buckets of up to
 HOT probes are verified in the join itself. Larger ones are cut into blocks, every pair of blocks is compared in numpy,
 and only a spanning forest of the true links is kept, so output stays linear in the bucket.
@@ -37,9 +38,13 @@ from .storage import Workspace, free_name, sized
 
 #: Probes that a bucket may hold to be verified in the join; rows of a block beyond that.
 HOT, BLOCK = 128, 2048
+#: Near copies: rows of a bucket up to which its pairs between groups are rows of their own.
+NEAR_HOT = 32
 #: Cost of a probe (a shuffled row) in candidate comparisons inside the join.
 PROBE_COST = 12.0
 MOST_PARTS = 6
+#: Fingerprints sampled to estimate candidates (cost only).
+SAMPLED = 8192
 #: Near copies: shingles of a block of a hot bucket; documents whose shingles are counted to order prefixes, and how many are kept (cost only).
 BLOCK_SHINGLES, SAMPLE, MOST_COMMON = 1 << 20, 8192, 1 << 17
 
@@ -112,8 +117,15 @@ def _parts(together: np.ndarray, n: int, m: int) -> list[list[int]]:
     return parts
 
 
-def plan(together: np.ndarray, n: int, limit: int) -> list[tuple[list[int], int]]:
+def _pair_differences(sample: np.ndarray) -> np.ndarray:
+    """Differing bits of pairs of the sampled fingerprints: each with those 1, 2, 4, ... places on."""
+    steps = [1 << k for k in range(12) if 1 << k < len(sample)]
+    return np.concatenate([sample[s:] ^ sample[:-s] for s in steps]) if steps else np.zeros(0, np.uint64)
+
+
+def plan(together: np.ndarray, n: int, limit: int, sample: np.ndarray | None = None) -> list[tuple[list[int], int]]:
     """[(bits, threshold)] of least estimated cost; thresholds sum to limit - m + 1, parts at -1 are left out."""
+    differences = _pair_differences(sample) if sample is not None else np.zeros(0, np.uint64)
     p = np.diag(together) / max(n, 1)
     differ = 2 * p * (1 - p)
     best: tuple[float, list[tuple[list[int], int]]] | None = None
@@ -126,6 +138,9 @@ def plan(together: np.ndarray, n: int, limit: int) -> list[tuple[list[int], int]
             for b in bits:
                 chance[1:] = chance[1:] * (1 - differ[b]) + chance[:-1] * differ[b]
                 chance[0] *= 1 - differ[b]
+            if len(differences):  # seen among sampled pairs, where that is more
+                apart = np.bitwise_count(differences & np.uint64(sum(1 << b for b in bits)))
+                chance = np.maximum(chance, np.bincount(np.minimum(apart, limit + 1), minlength=limit + 2)[: limit + 1] / len(differences))
             costs.append([0.0] + [n * n / 2 * chance[: t + 1].sum() + PROBE_COST * n * (1 + sum(comb(len(bits), k) for k in range(t + 1))) for t in range(limit + 1)])
         goal = limit - m + 1
         table: dict[int, tuple[float, list[int]]] = {0: (0.0, [])}
@@ -185,7 +200,9 @@ def _forest(values: np.ndarray, limit: int) -> list[tuple[int, int]]:
 def links(prints: DataFrame, work: Workspace, limit: int = 3) -> DataFrame:
     """(u, v) links between distinct fingerprints (fp): enough of those within limit bits to connect all that are linked."""
     n, together = _bit_counts(prints)
-    probes = work.save(_probes(prints, plan(together, n, limit)), "probes")
+    low = F.pmod(F.xxhash64("fp", F.lit(9)), F.lit(1 << 20)) < round(min(1.0, SAMPLED / max(n, 1)) * (1 << 20))
+    sample = np.array([r["fp"] for r in prints.filter(low).select("fp").orderBy(F.xxhash64("fp")).limit(2 * SAMPLED).collect()], np.int64).view(np.uint64)
+    probes = work.save(_probes(prints, plan(together, n, limit, sample)), "probes")
     buckets = work.save(probes.groupBy("part", "value").agg(F.count("*").alias("n"), F.max("own").alias("used")).filter("n > 1 and used").drop("used"), "buckets")
     total = buckets.agg(F.count("*").alias("n"), F.sum(F.expr(f"if(n > {HOT}, 1, 0)")).alias("hot")).first()
     if not total["n"]:
@@ -278,82 +295,97 @@ def _prefixes(docs: DataFrame, work: Workspace, words: int, similarity: float) -
     return docs.mapInArrow(add, "rid long, doc_id long, high long, low long, size int, prefix array<long>")
 
 
-def _near_forest(rids: np.ndarray, sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
-    """Links of a spanning forest of the graph that links rows whose sets (none empty) have that Jaccard similarity."""
+def _joining_links(rids: np.ndarray, sets: list[np.ndarray], roots: np.ndarray, similarity: float) -> list[tuple[int, int]]:
+    """Links between rows whose sets (none empty) have that Jaccard similarity: enough to join the groups (roots) that any such link joins."""
     sizes = np.array([len(s) for s in sets])
     codes = np.unique(np.concatenate(sets), return_inverse=True)[1]
-    ends = np.cumsum(sizes)
-    starts, has = ends - sizes, np.zeros(int(codes.max()) + 1, np.int64)
-    rest, edges = np.arange(len(sets)), []
-    while rest.size:
-        stack, rest = [rest[0]], rest[1:]
-        while stack and rest.size:
-            x = stack.pop()
-            has[codes[starts[x] : ends[x]]] = 1
-            shared = np.add.reduceat(has[codes], starts)[rest]
-            has[codes[starts[x] : ends[x]]] = 0
-            near = shared >= similarity * (sizes[x] + sizes[rest] - shared)
-            stack.extend(rest[near].tolist())
-            edges.extend((int(rids[x]), int(rids[y])) for y in rest[near])
-            rest = rest[~near]
+    starts, has = np.cumsum(sizes) - sizes, np.zeros(int(codes.max()) + 1, np.int64)
+    group, edges = np.unique(roots, return_inverse=True)[1], []
+    for x in range(len(sets)):
+        fit = (group != group[x]) & (np.minimum(sizes, sizes[x]) >= similarity * np.maximum(sizes, sizes[x]))
+        if not fit.any():
+            continue
+        own = codes[starts[x] : starts[x] + sizes[x]]
+        has[own] = 1
+        shared = np.add.reduceat(has[codes], starts)
+        has[own] = 0
+        near = np.flatnonzero(fit & (shared >= similarity * (sizes[x] + sizes - shared)))
+        for y in near.tolist():
+            if group[y] != group[x]:
+                edges.append((int(rids[x]), int(rids[y])))
+                group[group == group[y]] = group[x]
     return edges
 
 
+def _verified(pairs: DataFrame, sets: DataFrame, work: Workspace, similarity: float) -> DataFrame:
+    """The pairs (u, v) of rows whose sets (rid, shingles) have that Jaccard similarity."""
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            linked = []
+            for x, y in zip(batch.column(2), batch.column(3)):
+                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
+                n = np.intersect1d(x, y, assume_unique=True).size
+                linked.append(n >= similarity * (x.size + y.size - n))
+            yield batch.select([0, 1]).filter(pa.array(linked, pa.bool_()))
+
+    both = pairs.join(sets.select(F.col("rid").alias("u"), F.col("shingles").alias("x")), "u").join(sets.select(F.col("rid").alias("v"), F.col("shingles").alias("y")), "v")
+    return work.save(both.select("u", "v", "x", "y").mapInArrow(verify, "u long, v long"), "links")
+
+
 def similar_links(rows: DataFrame, docs: DataFrame, work: Workspace, words: int, similarity: float) -> DataFrame:
     """(u, v) links between rows of distinct sets (rid, size, prefix): enough of those of that Jaccard similarity to connect all that are linked.
 
-    A pair that shares a prefix shingle in a bucket of up to HOT rows becomes a row, is bounded by places and sizes, and verified.
-    Larger buckets are cut into blocks with their sets; every pair of blocks is verified in numpy, and only then cut to a forest.
+    Linked rows share a prefix shingle, so meet in its bucket. Every row is first compared with two of each of its buckets: the least, and the
+    one with most repeated shingles, which the others are likely to be edits of. Where that leaves a bucket in several groups, its
+    pairs between groups are looked at: in buckets of up to NEAR_HOT rows each pair is a row, bounded by places and sizes, and verified;
+    larger ones are cut into blocks with their sets, and every pair of blocks is verified in numpy. So every link between rows
+    that are not yet connected is found, and buckets of one large group cost no more than their rows.
     """
     entries = rows.select("rid", "size", F.posexplode("prefix").alias("pos", "token"))
     buckets = work.save(entries.groupBy("token").agg(F.count("*").alias("n"), F.sum("size").alias("total")).filter("n > 1"), "buckets")
-    total = buckets.agg(F.count("*").alias("n"), F.sum(F.expr(f"if(n > {HOT}, 1, 0)")).alias("hot")).first()
-    if not total["n"]:
+    n_buckets = buckets.count()
+    if not n_buckets:
         return work.spark.createDataFrame([], "u long, v long")
-    live = work.save(entries.join(sized(buckets, total["n"], 40), "token"), "entries")
-    cold, hot = live.filter(f"n <= {HOT}"), live.filter(f"n > {HOT}")
-    a, b = cold.alias("a"), cold.alias("b")
-    least = similarity / (1 + similarity)  # of the sum of both sizes: the shingles that a linked pair shares
-    rest = F.least(F.expr("a.size - a.pos - 1"), F.expr("b.size - b.pos - 1"))
-    sizes = F.col("a.size") + F.col("b.size")
-    near = (F.col("a.token") == F.col("b.token")) & (F.col("a.rid") > F.col("b.rid")) & (F.least("a.pos", "b.pos") + 1 + rest >= least * sizes - 1e-6)
-    shared = a.join(b, near).select(F.col("a.rid").alias("u"), F.col("b.rid").alias("v"), rest.alias("rest"), sizes.alias("sizes"))
-    # pairs that share a hot shingle too may be bounded too low here: they are verified there
-    pairs = shared.groupBy("u", "v").agg(F.count("*").alias("n"), F.min("rest").alias("rest"), F.max("sizes").alias("sizes")).filter(f"n + rest >= {least!r} * sizes - 1e-6")
-    pairs = work.save(pairs.select("u", "v"), "candidates")
-    ends = pairs.select(F.col("u").alias("rid")).union(pairs.select(F.col("v").alias("rid")))
-    if total["hot"]:
-        ends = ends.union(hot.select("rid"))
-    ends = work.save(ends.distinct(), "ends")
+    live = work.save(entries.join(sized(buckets, n_buckets, 40), "token"), "entries")
+    repeats = live.groupBy("rid").agg(F.count("*").alias("repeats"))
+    central = F.max(F.struct("repeats", (-F.col("rid")).alias("r")))["r"]
+    heads = live.join(repeats, "rid").groupBy("token").agg(F.min("rid").alias("least"), (-central).alias("central"))
+    met = live.select("token", "rid", "size").join(work.save(heads, "heads"), "token").select("rid", F.explode(F.array_distinct(F.array("least", "central"))).alias("head"))
+    stars = work.save(met.filter("rid <> head").select(F.greatest("rid", "head").alias("u"), F.least("rid", "head").alias("v")).distinct(), "stars")
 
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingle_hashes(t.as_py(), words).tobytes() for t in batch.column(1).cast(pa.binary())], pa.binary())], names=["rid", "shingles"])
 
+    ends = work.save(live.select("rid").distinct(), "ends")
     sets = work.save(docs.select("rid", "text").join(sized(ends, ends.count(), 16), "rid").mapInArrow(shingles, "rid long, shingles binary"), "shingles")
-    both = pairs.join(sets.select(F.col("rid").alias("u"), F.col("shingles").alias("x")), "u").join(sets.select(F.col("rid").alias("v"), F.col("shingles").alias("y")), "v")
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            linked = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                n = np.intersect1d(x, y, assume_unique=True).size
-                linked.append(n >= similarity * (x.size + y.size - n))
-            yield batch.select([0, 1]).filter(pa.array(linked, pa.bool_()))
-
-    found = both.select("u", "v", "x", "y").mapInArrow(verify, "u long, v long")
-    if total["hot"]:
-
-        def tile(pdf: pd.DataFrame) -> pd.DataFrame:
-            return pd.DataFrame(_near_forest(pdf["rid"].to_numpy(), [np.frombuffer(s, np.uint64) for s in pdf["shingles"]], similarity), columns=["u", "v"])
-
-        blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("total") / BLOCK_SHINGLES))
-        mine = F.pmod(F.xxhash64("rid"), blocks)
-        cut = hot.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), (blocks - 1).cast("long"))))
-        cut = cut.select("rid", "token", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q")).join(sets, "rid")
-        found = found.union(cut.groupBy("token", "p", "q").applyInPandas(tile, "u long, v long"))
-    return found
+    found = _verified(stars, sets, work, similarity)
+    roots = work.save(components(found, work), "star-roots")
+    rooted = live.filter("n > 3").join(sized(roots, roots.count(), 24), F.col("rid") == F.col("node"), "left").withColumn("root", F.coalesce("root", "rid")).drop("node")
+    rooted = work.save(rooted, "rooted")
+    open_ = work.save(rooted.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("token"), "open")
+    left = work.save(rooted.join(sized(open_, open_.count(), 16), "token"), "left")
+    work.drop(live)
+    work.drop(rooted)
+    cold, hot = left.filter(f"n <= {NEAR_HOT}"), left.filter(f"n > {NEAR_HOT}")
+    a, b = cold.alias("a"), cold.alias("b")
+    least = similarity / (1 + similarity)  # of the sum of both sizes: the shingles that a linked pair shares
+    rest = F.least(F.expr("a.size - a.pos - 1"), F.expr("b.size - b.pos - 1"))
+    sizes = F.col("a.size") + F.col("b.size")
+    near = (F.col("a.token") == F.col("b.token")) & (F.col("a.rid") > F.col("b.rid")) & (F.col("a.root") != F.col("b.root")) & (F.least("a.pos", "b.pos") + 1 + rest >= least * sizes - 1e-6)
+    pairs = a.join(b, near).select(F.col("a.rid").alias("u"), F.col("b.rid").alias("v")).distinct().join(stars, ["u", "v"], "left_anti")
+    found = found.union(_verified(work.save(pairs, "candidates"), sets, work, similarity))
+
+    def tile(pdf: pd.DataFrame) -> pd.DataFrame:
+        links = _joining_links(pdf["rid"].to_numpy(), [np.frombuffer(s, np.uint64) for s in pdf["shingles"]], pdf["root"].to_numpy(), similarity)
+        return pd.DataFrame(links, columns=["u", "v"], dtype=np.int64)
+
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("total") / BLOCK_SHINGLES))
+    mine = F.pmod(F.xxhash64("rid"), blocks)
+    cut = hot.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), (blocks - 1).cast("long"))))
+    cut = cut.select("rid", "root", "token", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q")).join(sets, "rid")
+    return found.union(work.save(cut.groupBy("token", "p", "q").applyInPandas(tile, "u long, v long"), "tiles"))
 
 
 def near_copy_groups(docs: DataFrame, work: Workspace, text: str = "text", doc_id: str = "doc_id", rid: str = "rid", words: int = 5, similarity: float = 0.8) -> DataFrame:

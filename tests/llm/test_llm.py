@@ -15,7 +15,8 @@ from maskline.llm import (
     bpe, chunk_dedup, embedding_dedup, exact_dedup, line_dedup, packing, quality, simhash, suffix_dedup, toxicity,
 )
 from maskline.llm.graph import components
-from maskline.llm.storage import Workspace, shared_dir
+from maskline.llm.storage import Workspace
+from maskline.sources.saved import shared_dir
 
 SCHEMA = "doc_id long, text string, rid string, RID_ string, fp string, gone string"
 
@@ -254,6 +255,36 @@ def test_passages_with_one_short_shared_chunk_go(spark):
     assert all(n <= got[i] <= n + 4 for i, n in short)
 
 
+def test_forced_cuts_follow_the_content():
+    """Text without marks is cut alike whatever stands before it."""
+    for body in (b"ab" * 5000, b"\x00" * 9000, b"abcdefg" * 3000):
+        one, two = (chunk_dedup.cut_points(t) for t in (body, b"xyz" + body))
+        parts = [{t[a:b] for a, b in zip([0, *e], e)} for t, e in ((body, one), (b"xyz" + body, two))]
+        assert parts[0] & parts[1] and all(b - a <= chunk_dedup.MOST for a, b in zip([0, *two], two)) and two[-1] == len(body) + 3
+
+
+def test_widening_goes_on_beyond_its_reach(spark, monkeypatch):
+    monkeypatch.setattr(chunk_dedup, "REACH", 4)
+    rng = random.Random(17)
+    passage = words(rng, 120)
+    rows = [(1, words(rng, 40) + " # " + passage + " # " + words(rng, 40)), (2, words(rng, 40) + " @ " + passage + " @ " + words(rng, 40))]
+    got = {r["doc_id"]: r["removed_bytes"] for r in chunk_dedup.substring_dedup(frame(spark, rows)).collect()}
+    assert got[1] == 0 and len(passage) <= got[2] <= len(passage) + 4
+
+
+def test_substring_dedup_recall_by_length(spark):
+    """Passages of a length, each in two documents: the share that is found, which the README states."""
+    rng = random.Random(23)
+    for size, least in ((45, 0.9), (60, 0.97), (90, 0.99)):
+        rows = []
+        for _ in range(120):
+            passage = words(rng, size)
+            rows += [(len(rows) + k, words(rng, 30) + " " + passage + " " + words(rng, 30)) for k in range(2)]
+        got = {r["doc_id"]: r["removed_bytes"] for r in chunk_dedup.substring_dedup(frame(spark, rows)).collect()}
+        assert all(got[i] == 0 for i in got if i % 2 == 0)
+        assert sum(got[i] > 0 for i in got if i % 2) >= least * 120
+
+
 def test_toxicity(spark):
     rng = random.Random(5)
     bad = ["grubble", "snarkfit", "mudwit"]
@@ -371,8 +402,8 @@ def test_word_encoder_and_packing(spark, corpus):
 
     path = public_tokenizers.path("word_bpe_49k.json")
     plain = Tokenizer.from_file(path)
-    plain.encode_special_tokens = True
-    rows = corpus + [(100, "It's we'll a\x1cb ΣΑΣ J̌ x'y <|endoftext|> 日本語 a.b, c., 12a")]
+    rows = corpus + [(98, "hello <|endoftext|> x<|EndOfText|>y <|endoftext|>")]
+    rows += [(100, "It's we'll a\x1cb ΣΑΣ J̌ x'y <|endoftext|> 日本語 a.b, c., 12a")]
     got = packing.pack(frame(spark, rows), path).collect()
     want = []
     for i, t in rows:
@@ -406,7 +437,7 @@ def test_quality(spark):
     junk = [(i, (words(rng, 1) + " ") * 40 if i % 2 else words(rng, 30).upper().replace(" ", "!! ")) for i in range(300, 360)]
     rows = good + junk + [(1000, None), (1001, ""), (None, good[0][1]), (0, good[0][1])]
     labels = spark.createDataFrame([(i, int(i < 300)) for i in range(0, 360, 2)] + [(301, 0), (303, 0), (4, None), (99999, 1)], "doc_id long, quality int")
-    got = quality.quality_scores(frame(spark, rows), labels, Workspace(spark, "test")).collect()
+    got = quality.quality_scores(frame(spark, rows), labels, Workspace(spark, "test"), keep=304 / 364).collect()
     assert len(got) == len(rows)
     for r in got:
         if r["doc_id"] is not None and r["doc_id"] < 360:
@@ -417,6 +448,40 @@ def test_quality(spark):
     assert quality.drop_low_quality(frame(spark, []), labels).count() == 0
 
 
+def test_quality_against_brute_force(spark):
+    """Weights, keys and the kept rows of the whole operator, from plain counts; the noise decides some of them."""
+    import math
+
+    rng = random.Random(12)
+    rows = [(i, words(rng, rng.randint(0, 3)) + (" zz" if i % 3 == 0 else "")) for i in range(400)] + [(401, None), (5, "again"), (402, "!!!! ???")]
+    labels = {i: int(i % 3 != 0) for i in range(0, 200)}
+    frame_labels = spark.createDataFrame([*labels.items(), (7, None), (9999, 1)], "doc_id long, quality int")
+    of, ratio = quality.Features(), None
+    found = [of(t) for _, t in rows]
+    target, raw = np.zeros(quality.BUCKETS), np.zeros(quality.BUCKETS)
+    for (i, _), f in zip(rows, found):
+        for b in f:
+            raw[b] += 1
+            target[b] += labels.get(i) == 1
+    ratio = [math.log(t + 50) - math.log(r * target.sum() / raw.sum() + 50) for t, r in zip(target, raw)]
+    noise = {r["i"]: r["u"] for r in spark.createDataFrame([(i,) for i, _ in rows], "i long").selectExpr("i", "(shiftrightunsigned(xxhash64(i, 17), 11) + 0.5) / 9007199254740992D AS u").collect()}
+    weights = [sum(ratio[b] for b in f) for f in found]
+    keys = [w - math.log(-math.log(noise[i])) for (i, _), w in zip(rows, weights)]
+    for keep in (None, 0.4):
+        got = sorted((r["doc_id"], round(r["weight"], 6), round(r["key"], 6), r["kept"]) for r in quality.quality_scores(frame(spark, rows), frame_labels, Workspace(spark, "test"), keep=keep).collect())
+        k = sum(w > 0 for w in weights) if keep is None else math.ceil(keep * len(rows) - 1e-9)
+        least = sorted(keys, reverse=True)[k - 1]
+        assert got == sorted((i, round(w, 6), round(x, 6), x >= least) for (i, _), w, x in zip(rows, weights, keys))
+        assert sum(w >= sorted(weights, reverse=True)[k - 1] and x < least for w, x in zip(weights, keys)) > 0
+
+
+def test_quality_ties_at_the_last_key_all_stay(spark):
+    rows = [(1, "same text")] * 5 + [(2, "other")]
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    got = quality.quality_scores(frame(spark, rows), labels, Workspace(spark, "test"), keep=0.2).collect()
+    assert sum(r["kept"] for r in got) in (2, 5, 6) and len({(r["doc_id"], r["kept"]) for r in got}) == 2
+
+
 def test_kth_largest(spark):
     keys = [random.Random(k).gauss(0, 10 ** (k % 5)) for k in range(300)] + [1.5] * 20
     frame_ = spark.createDataFrame([(k,) for k in keys], "key double")
@@ -434,23 +499,38 @@ def plain_lines(rows, least):
             if key in seen:
                 gone[k].update(range(a, a + least))
             seen.add(key)
-    return [(i, None if s is None else "\n".join(x for a, x in enumerate(s) if a not in g), len(s or []), len(g)) for (i, _), s, g in zip(rows, split, gone)]
+    longest = [0] * len(rows)
+    alike = {}
+    for k, s in enumerate(split):
+        for a, line in enumerate(s or []):
+            alike.setdefault(line, []).append((k, a))
+    for spots in alike.values():
+        for k, a in spots:
+            for j, b in spots:
+                n = 0
+                while (k, a) != (j, b) and a + n < len(split[k]) and b + n < len(split[j]) and split[k][a + n] == split[j][b + n]:
+                    n += 1
+                longest[k] = max(longest[k], n)
+    return [(i, None if s is None else "\n".join(x for a, x in enumerate(s) if a not in g), len(s or []), len(g), m) for (i, _), s, g, m in zip(rows, split, gone, longest)]
 
 
 def test_line_dedup(spark):
     rng = random.Random(8)
     lines = [words(rng, 4) for _ in range(12)] + [""]
     rows = [(i, "\n".join(rng.choices(lines, k=rng.randint(1, 12)))) for i in range(30)]
-    rows += [(40, None), (41, ""), (42, "\n".join(lines * 60)), (43, "\n".join(lines * 60)), (44, "x\nx\nx\nx"), (None, "\n".join(lines))]
-    for least in (1, 2, 4):
-        got = line_dedup.line_dedup(frame(spark, rows), least_lines=least).select("doc_id", "text", "n_lines", "n_removed").collect()
+    rows += [(40, None), (41, ""), (42, "\n".join(lines * 6)), (43, "\n".join(lines * 6)), (44, "x\nx\nx\nx"), (None, "\n".join(lines))]
+    rows += [(50, "p\nq\nr\ns"), (51, "p\nq\nr\ns")]
+    for least in (1, 2, 3, 4):
+        got = line_dedup.line_dedup(frame(spark, rows), least_lines=least).select("doc_id", "text", "n_lines", "n_removed", "longest").collect()
         assert sorted(map(tuple, got), key=str) == sorted(plain_lines(rows, least), key=str)
     assert line_dedup.line_dedup(frame(spark, [])).count() == 0
 
 
 def test_embeddings(spark, monkeypatch):
-    monkeypatch.setattr(embedding_dedup, "BLOCK", 24)
-    monkeypatch.setattr(embedding_dedup, "CELL", 40)
+    monkeypatch.setattr(embedding_dedup, "BUCKET", 2)
+    monkeypatch.setattr(embedding_dedup, "CELL_BYTES", 1 << 11)
+    monkeypatch.setattr(embedding_dedup, "TILE", 7)
+    embedding_dedup.calibrate.cache_clear()
     rng = np.random.default_rng(9)
     rows = []
     for k in range(30):
@@ -476,6 +556,25 @@ def test_embeddings(spark, monkeypatch):
     assert right >= 0.99 * sum(links) and all(got[i][0] <= want[i][0] for i in want)
     assert sum(got[i] == want[i] for i in want) >= 0.98 * len(want)
     assert embedding_dedup.embedding_groups(frame_.limit(0)).count() == 0
+    typed = spark.createDataFrame([(1, [1.0, 0.0, 3.0], "a"), (2, [1.0, 1e-9, 3.0], "a"), (3, [1.0, 0.0, 3.0], "b"), (4, [1e200, 0.0, 3e200], "a")], "vec_id long, embedding array<double>, label string")
+    assert sorted(map(tuple, embedding_dedup.embedding_groups(typed).collect())) == [(1, 2, 1, True), (2, 2, 1, False), (3, 0, 3, True), (4, 2, 1, False)]
+
+
+def test_filters_do_less_than_all_pairs_and_find_them():
+    """Random vectors, a tenth of them moved copies: over 0.99 of the links, at a small share of all pairs, each link once."""
+    rng = np.random.default_rng(0)
+    for n, most in ((4000, 0.15), (20000, 0.03)):
+        size, count, _ = embedding_dedup._plan({64: n}, 0.93)[64]
+        x = rng.standard_normal((n, 64))
+        k = n // 10
+        x[:k] = x[k : 2 * k] + rng.standard_normal((k, 64)) * 0.38 * rng.random((k, 1))
+        x = embedding_dedup.units(x)
+        ways = np.concatenate([embedding_dedup.decode(x[a : a + 1024], size, count) for a in range(0, n, 1024)])
+        held = np.bincount(ways.ravel()).astype(float)
+        assert (held * (held - 1) / 2).sum() < most * n * (n - 1) / 2
+        got = [(min(a, b), max(a, b)) for i, j in embedding_dedup.cell_links(x, ways, np.arange(n), None, 0, size * size, 0.93) for a, b in zip(i.tolist(), j.tolist())]
+        want = {(a + i, j) for a in range(0, n, 2000) for i, j in zip(*(v.tolist() for v in np.nonzero(x[a : a + 2000] @ x.T >= 0.93))) if a + i < j}
+        assert len(set(got)) == len(got) and set(got) <= want and len(got) >= 0.99 * len(want) > 100
 
 
 def plain_suffix(rows, length=50):
