@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .storage import Workspace, free_name, sized
+from .storage import Workspace, free_name, numbered, sized
 
 LEAST, MASK_BITS, MOST = 24, 5, 256
 #: 50 words or so of the shortest kind: runs of repeated chunks below this are left alone.
@@ -212,7 +212,7 @@ def substring_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     docs = docs.drop("removed_bytes", "removed_spans")
     work = work or Workspace(docs.sparkSession, "chunks")
     rid, cuts = free_name(docs, "row_number", "cuts")
-    held = work.save(docs.withColumn(rid, F.monotonically_increasing_id()), "held")
+    held = numbered(docs, rid, work)
     runs = repeated_runs(held.select(F.col(rid), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), work, least_run)
     work.only(held, runs)
     runs = runs.select(F.col("rid").alias(rid), F.col("cuts").alias(cuts))

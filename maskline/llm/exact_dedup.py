@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .storage import Workspace, free_name, sized
+from .storage import Workspace, free_name, numbered, sized
 
 #: Deleted before comparing: space, and U+0009 to U+000D.
 BLANKS = " \t\n\x0b\f\r"
@@ -123,7 +123,7 @@ def drop_exact_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id
     """docs without the rows that exact_dedup drops; columns as they were."""
     work = work or Workspace(docs.sparkSession, "exact-rows")
     (rid,) = free_name(docs, "row_number")
-    held = work.save(docs.withColumn(rid, F.monotonically_increasing_id()), "held")
+    held = numbered(docs, rid, work)
     found = verdicts(keyed(held, work, text, doc_id, rid), work)
     gone = work.save(found.filter("rid <> keep_rid").select(F.col("rid").alias(rid)), "gone")
     work.only(held, gone)

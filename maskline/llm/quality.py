@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import Workspace, free_name, sized
+from .storage import Workspace, free_name, numbered, sized
 
 BUCKETS = 1 << 16
 SMOOTHING, SEED = 50.0, 17
@@ -171,7 +171,7 @@ def drop_low_quality(docs: DataFrame, labels: DataFrame, text: str = "text", doc
     """docs without the rows that quality_scores rejects; columns as they were."""
     work = work or Workspace(docs.sparkSession, "quality-rows")
     (rid,) = free_name(docs, "row_number")
-    held = work.save(docs.withColumn(rid, F.monotonically_increasing_id()), "held")
+    held = numbered(docs, rid, work)
     scores = quality_scores(held, labels, work, text, doc_id, rid, keep)
     gone = work.save(scores.filter("not kept").select(F.col("rid").alias(rid)), "gone")
     work.only(held, gone)

@@ -29,12 +29,12 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .graph import components
-from .storage import Workspace, free_name, sized
+from .storage import Workspace, free_name, numbered, sized
 
 #: Probes that a bucket may hold to be verified in the join; rows of a block beyond that.
 HOT, BLOCK = 128, 2048
@@ -317,20 +317,44 @@ def _joining_links(rids: np.ndarray, sets: list[np.ndarray], roots: np.ndarray,
     return edges
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, work: Workspace, similarity: float) -> DataFrame:
-    """The pairs (u, v) of rows whose sets (rid, shingles) have that Jaccard similarity."""
+def _with_shingles(docs: DataFrame, keys: DataFrame, n: int, words: int, name: str) -> DataFrame:
+    """keys (rid and more, n rows in all), each with the shingle set of its row of docs (rid, text) as bytes."""
+    both = docs.select("rid", "text").join(sized(keys, n, 48), "rid")
+    columns = keys.columns
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = pa.array([shingle_hashes(t.as_py(), words).tobytes() for t in batch.column(len(columns)).cast(pa.binary())], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], sets], names=[*columns, name])
+
+    return both.select(*columns, "text").mapInArrow(shingles, T.StructType([*keys.schema.fields, T.StructField(name, T.BinaryType())]))
+
+
+def _verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame, work: Workspace, words: int, similarity: float) -> DataFrame:
+    """The pairs (u, v) of rows (rid, size, prefix) whose sets have that Jaccard similarity.
+
+    Of two such sets, the shingles in common are in both prefixes, or beyond the prefix of the one whose prefix ends first: so prefixes with
+    too little in common rule a pair out, and only the others' sets are sent, each side of a pair once.
+    """
+    n = pairs.count()
+    side = lambda end, names: rows.select(F.col("rid").alias(end), F.col("size").alias(names[0]), F.col("prefix").alias(names[1])).join(sized(pairs, n, 32), end)
+    both = side("u", ("m", "p")).join(side("v", ("n", "q")), ["u", "v"])
+    shared = F.size(F.array_intersect("p", "q")) + F.greatest(F.col("m") - F.size("p"), F.col("n") - F.size("q"))
+    some = work.save(both.filter(shared >= similarity / (1 + similarity) * (F.col("m") + F.col("n")) - 1e-6).select("u", "v"), "possible")
+    k = some.count()
+    own = _with_shingles(docs, some.select(F.col("u").alias("rid"), "v"), k, words, "x").withColumnRenamed("rid", "u")
+    other = _with_shingles(docs, some.select(F.col("v").alias("rid"), "u"), k, words, "y").withColumnRenamed("rid", "v")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             linked = []
             for x, y in zip(batch.column(2), batch.column(3)):
                 x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                n = np.intersect1d(x, y, assume_unique=True).size
-                linked.append(n >= similarity * (x.size + y.size - n))
+                both = np.intersect1d(x, y, assume_unique=True).size
+                linked.append(both >= similarity * (x.size + y.size - both))
             yield batch.select([0, 1]).filter(pa.array(linked, pa.bool_()))
 
-    both = pairs.join(sets.select(F.col("rid").alias("u"), F.col("shingles").alias("x")), "u").join(sets.select(F.col("rid").alias("v"), F.col("shingles").alias("y")), "v")
-    return work.save(both.select("u", "v", "x", "y").mapInArrow(verify, "u long, v long"), "links")
+    return work.save(own.join(other, ["u", "v"]).select("u", "v", "x", "y").mapInArrow(verify, "u long, v long"), "links")
 
 
 def similar_links(rows: DataFrame, docs: DataFrame, work: Workspace, words: int, similarity: float) -> DataFrame:
@@ -349,18 +373,20 @@ def similar_links(rows: DataFrame, docs: DataFrame, work: Workspace, words: int,
         return work.spark.createDataFrame([], "u long, v long")
     live = work.save(entries.join(sized(buckets, n_buckets, 40), "token"), "entries")
     repeats = live.groupBy("rid").agg(F.count("*").alias("repeats"))
-    central = F.max(F.struct("repeats", (-F.col("rid")).alias("r")))["r"]
-    heads = live.join(repeats, "rid").groupBy("token").agg(F.min("rid").alias("least"), (-central).alias("central"))
-    met = live.select("token", "rid", "size").join(work.save(heads, "heads"), "token").select("rid", F.explode(F.array_distinct(F.array("least", "central"))).alias("head"))
-    stars = work.save(met.filter("rid <> head").select(F.greatest("rid", "head").alias("u"), F.least("rid", "head").alias("v")).distinct(), "stars")
+    place = F.struct("rid", "size", "pos")
+    heads = live.join(repeats, "rid").groupBy("token").agg(F.min(place).alias("least"), F.max(F.struct("repeats", (-F.col("rid")).alias("r"), place.alias("place")))["place"].alias("central"))
+    heads = work.save(heads.select("token", F.explode(F.array_distinct(F.array("least", "central"))).alias("head")), "heads")
+    least = similarity / (1 + similarity)  # of the sum of both sizes: the shingles that a linked pair shares
 
-    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingle_hashes(t.as_py(), words).tobytes() for t in batch.column(1).cast(pa.binary())], pa.binary())], names=["rid", "shingles"])
+    def may_link(a: str, b: str) -> Column:
+        """Whether rows that share a shingle at these places may have shingles enough in common: those up to there, and the fewer after."""
+        rest = F.least(F.expr(f"{a}.size - {a}.pos - 1"), F.expr(f"{b}.size - {b}.pos - 1"))
+        return F.least(f"{a}.pos", f"{b}.pos") + 1 + rest >= least * (F.col(f"{a}.size") + F.col(f"{b}.size")) - 1e-6
+
+    met = live.alias("a").join(heads, "token").filter((F.col("a.rid") != F.col("head.rid")) & may_link("a", "head"))
+    stars = work.save(met.select(F.greatest("a.rid", "head.rid").alias("u"), F.least("a.rid", "head.rid").alias("v")).distinct(), "stars")
 
-    ends = work.save(live.select("rid").distinct(), "ends")
-    sets = work.save(docs.select("rid", "text").join(sized(ends, ends.count(), 16), "rid").mapInArrow(shingles, "rid long, shingles binary"), "shingles")
-    found = _verified(stars, sets, work, similarity)
+    found = _verified(stars, rows, docs, work, words, similarity)
     roots = work.save(components(found, work), "star-roots")
     rooted = live.filter("n > 3").join(sized(roots, roots.count(), 24), F.col("rid") == F.col("node"), "left").withColumn("root", F.coalesce("root", "rid")).drop("node")
     rooted = work.save(rooted, "rooted")
@@ -370,12 +396,11 @@ def similar_links(rows: DataFrame, docs: DataFrame, work: Workspace, words: int,
     work.drop(rooted)
     cold, hot = left.filter(f"n <= {NEAR_HOT}"), left.filter(f"n > {NEAR_HOT}")
     a, b = cold.alias("a"), cold.alias("b")
-    least = similarity / (1 + similarity)  # of the sum of both sizes: the shingles that a linked pair shares
-    rest = F.least(F.expr("a.size - a.pos - 1"), F.expr("b.size - b.pos - 1"))
-    sizes = F.col("a.size") + F.col("b.size")
-    near = (F.col("a.token") == F.col("b.token")) & (F.col("a.rid") > F.col("b.rid")) & (F.col("a.root") != F.col("b.root")) & (F.least("a.pos", "b.pos") + 1 + rest >= least * sizes - 1e-6)
+    near = (F.col("a.token") == F.col("b.token")) & (F.col("a.rid") > F.col("b.rid")) & (F.col("a.root") != F.col("b.root")) & may_link("a", "b")
     pairs = a.join(b, near).select(F.col("a.rid").alias("u"), F.col("b.rid").alias("v")).distinct().join(stars, ["u", "v"], "left_anti")
-    found = found.union(_verified(work.save(pairs, "candidates"), sets, work, similarity))
+    found = found.union(_verified(work.save(pairs, "candidates"), rows, docs, work, words, similarity))
+    if hot.isEmpty():
+        return found
 
     def tile(pdf: pd.DataFrame) -> pd.DataFrame:
         links = _joining_links(pdf["rid"].to_numpy(), [np.frombuffer(s, np.uint64) for s in pdf["shingles"]], pdf["root"].to_numpy(), similarity)
@@ -384,7 +409,9 @@ def similar_links(rows: DataFrame, docs: DataFrame, work: Workspace, words: int,
     blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("total") / BLOCK_SHINGLES))
     mine = F.pmod(F.xxhash64("rid"), blocks)
     cut = hot.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), (blocks - 1).cast("long"))))
-    cut = cut.select("rid", "root", "token", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q")).join(sets, "rid")
+    cut = cut.select("rid", "root", "token", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"))
+    ids = work.save(hot.select("rid").distinct(), "hot")
+    cut = cut.join(work.save(_with_shingles(docs, ids, ids.count(), words, "shingles"), "shingles"), "rid")
     return found.union(work.save(cut.groupBy("token", "p", "q").applyInPandas(tile, "u long, v long"), "tiles"))
 
 
@@ -411,7 +438,7 @@ def drop_near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id"
     """docs with one row of each group of near copies, the one of smallest id; columns as they were."""
     work = work or Workspace(docs.sparkSession, "simhash-rows")
     (rid,) = free_name(docs, "row_number")
-    held = work.save(docs.withColumn(rid, F.monotonically_increasing_id()), "held")
+    held = numbered(docs, rid, work)
     groups = near_copy_groups(held, work, text, doc_id, rid, words, similarity)
     gone = work.save(groups.filter("rid <> keep_rid").select(F.col("rid").alias(rid)), "gone")
     work.only(held, gone)

@@ -64,6 +64,26 @@ def sized(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
 
 
+def numbered(docs: DataFrame, rid: str, work: Workspace) -> DataFrame:
+    """docs with rid, a number of each row that is the same however often, and on whatever executors, it is read.
+
+    Rows of Parquet files, with no more than columns and rows chosen from them, are numbered by file, in order of the paths, and place in it.
+    Anything else is saved with the numbers it happens to get.
+    """
+    plan = docs._jdf.queryExecution().analyzed()
+    plain = plan.deterministic()
+    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.children().head()
+    if not plain or plan.nodeName() != "LogicalRelation" or "parquet" not in plan.simpleString(100):
+        return work.save(docs.withColumn(rid, F.monotonically_increasing_id()), "held")
+    (path, place, number) = free_name(docs.withColumn(rid, F.lit(0)), "file_path", "row_index", "file_number")
+    found = docs.select("*", F.col("_metadata.file_path").alias(path), F.col("_metadata.row_index").alias(place))
+    paths = sorted(r[0] for r in found.select(path).distinct().collect())  # one short row per file
+    files = work.spark.createDataFrame(list(zip(paths, range(len(paths)))), f"{path} string, {number} long")
+    both = found.join(sized(files, len(paths), 512), path)
+    return both.select(*[F.col(f"`{c}`") for c in docs.columns], (F.col(number) * (1 << 40) + F.col(place)).alias(rid))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
