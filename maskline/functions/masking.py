@@ -76,7 +76,7 @@ def mask_around(value: Column, delimiter: str, length: int, after: bool, char: s
 
 def derived_pattern(kind: str, left: str, right: str = "") -> str:
     """A pattern whose first group lies before, after or in between given marks (regular expressions)."""
-    return {"before": f"(.*?){left}", "after": f"{left}(.*)", "in_between": f"{left}(.*?){right}"}[kind]
+    return {"before": f"^(.+?){left}", "after": f"{left}(.+)$", "in_between": f"{left}(.+?){right}"}[kind]
 
 
 def safe_stem(name: Column) -> Column:

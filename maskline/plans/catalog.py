@@ -683,3 +683,89 @@ def stream_ingest_tokens(spark, sf_dir):
 def _is_folder(spark, path: str) -> bool:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()
+
+
+# 12. Settings, masks by configuration, totals
+
+
+def _expected(cases: dict[str, str]) -> str:
+    return "SELECT * FROM (VALUES " + ", ".join(f"('{k}', '{v}')" for k, v in cases.items()) + ") t(name, outcome)"
+
+
+def _outcome(function) -> str:
+    try:
+        return str(function())
+    except (ValueError, SystemExit) as wrong:
+        return type(wrong).__name__
+
+
+def _outcomes(spark: SparkSession, cases: dict) -> DataFrame:
+    return spark.createDataFrame([(k, _outcome(f)) for k, f in cases.items()], "name string, outcome string")
+
+
+@query(_expected({"no block": "fixed", "no block, off": "none", "block": "config", "list": "ValueError", "unknown operation": "ValueError", "operations as text": "ValueError",
+                  "other default": "ValueError", "temp outside": "ValueError", "undeclared": "masking", "overruled": "pixel.fill,temp_dir", "unknown tag": "Nope", "missing file": "None", "kept tags": "Zip"}))
+def job_outcomes(spark, sf_dir):
+    """What becomes of job documents: the policy that runs, or why none does."""
+    from ..operators import jobs
+
+    block = {"tag_actions": {"PatientID": {"action": "masking", "characters_to_mask": [1]}, "Nope": {"action": "suppress"}}, "temp_dir": "/x", "pixel": {"fill": 1}}
+    doc = {"dicom_deidentify": block, "operations": ["dicom_deidentify"]}
+    of = lambda d, **k: jobs.selected_policy(jobs.check(d, **k))
+    return _outcomes(spark, {
+        "no block": lambda: of({}), "no block, off": lambda: jobs.selected_policy(jobs.check({}), False), "block": lambda: of(doc), "list": lambda: of([]),
+        "unknown operation": lambda: of({**doc, "operations": ["date_shift"]}), "operations as text": lambda: of({**doc, "operations": "masking"}),
+        "other default": lambda: of({"dicom_deidentify": {"default_action": "suppress"}}), "temp outside": lambda: of(doc, temp_dir="/data/tmp"),
+        "undeclared": lambda: ",".join(jobs.check(doc).undeclared), "overruled": lambda: ",".join(jobs.check(doc, {"temp_dir": "/tmp/run", "pixel.fill": 0, "input_dir": "/in"}).overruled),
+        "unknown tag": lambda: ",".join(jobs.check(doc).config.unresolved), "missing file": lambda: jobs.load("/nowhere/job.json"),
+        "kept tags": lambda: ",".join(jobs.unknown_kept(["PatientID", "Zip"]))})
+
+
+@query(_expected({"unset": "None", "number": "4", "zero": "SystemExit", "word": "SystemExit", "key": "32", "salt": "64", "same key": "True", "other column": "False", "other store": "False",
+                  "titles": "a_b,a_b_2,a_b_3", "long titles": "31,30", "nested": "NAME 0.75", "flat": "NAME 0.9", "pairs": "NAME 0.9", "nothing": "[]"}))
+def driver_rules(spark, sf_dir):
+    """Settings read and made on the driver: environment, keys, sheet titles, recognisers' outputs."""
+    from ..operators import jobs
+
+    env, store, quad = {"A": " 4 ", "Z": "0", "W": "four"}, jobs.KeyStore(spark), [[0, 0], [1, 0], [1, 1], [0, 1]]
+    shown = lambda r: " ".join(f"{t} {c}" for _, t, c in jobs.recognised(r))
+    return _outcomes(spark, {
+        "unset": lambda: jobs.environment_int("N", env), "number": lambda: jobs.environment_int("A", env), "zero": lambda: jobs.environment_int("Z", env), "word": lambda: jobs.environment_int("W", env),
+        "key": lambda: len(jobs.new_key()), "salt": lambda: len(jobs.new_key(32)), "same key": lambda: store.get("hash", "PatientID") == store.get("hash", "PatientID"),
+        "other column": lambda: store.get("hash", "PatientID") == store.get("hash", "StudyID"), "other store": lambda: store.get("hash", "PatientID") == store.get("fpe", "PatientID"),
+        "titles": lambda: ",".join(jobs.sheet_titles(["x/a:b", "a/b/../a_b", "a?b"])), "long titles": lambda: ",".join(str(len(t)) for t in jobs.sheet_titles(["q" * 40] * 2)),
+        "nested": lambda: shown([[[quad, ("NAME", 0.75)], [quad]]]), "flat": lambda: shown([(quad, "NAME", "high")]), "pairs": lambda: shown([[quad, "NAME"], [quad, 5]]), "nothing": lambda: jobs.recognised(None)})
+
+
+@query("SELECT c_custkey, regexp_replace(regexp_replace(regexp_replace('*' || substr(c_name, 2), '0', '*', 'g'), '[1-9]', '9', 'g'), '[A-Za-z]', 'Q', 'g') AS masked, '*' || substr(c_name, 2, 5) || '##' || substr(c_name, 9) AS beside FROM customer")
+def mask_steps(spark, sf_dir):
+    """Masks by configuration: positions, then a pattern, then classes; and two characters before a mark, which leaves the pattern out."""
+    from ..functions import steps
+
+    all_three = steps.parse({"column": "c_name", "characters_to_mask": [1, 99], "regex_patterns": [{"regex": "0+"}], "class_masking_mode": "fixed_class", "class_mask_letter": "Q", "class_mask_digit": "9"})
+    beside = steps.parse({"column": "c_name", "characters_to_mask": [1], "apply_order": ["regex", "characters"], "regex_patterns": [{"regex": "(", "type": "before", "delimiter": "#", "length": 2, "masking_char": "#"}]})
+    return table(spark, sf_dir, "customer").select("c_custkey", all_three.udf()(F.col("c_name")).alias("masked"), beside.udf()(F.col("c_name")).alias("beside"))
+
+
+@query("SELECT count(*) AS files, count_if(o_orderkey % 7 = 0) AS failed, sum(CAST(o_orderkey % 3 AS BIGINT)) AS n_redacted, sum(CAST(o_orderkey % 2 AS BIGINT)) AS n_matched, sum(o_custkey) AS bytes, 2 * count_if(o_orderkey % 5 > 0) AS tags_changed, max(CASE WHEN o_orderkey % 4 > 0 THEN o_custkey END) AS peak_mb FROM orders")
+def run_totals(spark, sf_dir):
+    from ..operators import jobs
+
+    audits = table(spark, sf_dir, "orders").selectExpr("CAST(o_orderkey AS STRING) AS path", "CASE WHEN o_orderkey % 7 = 0 THEN 'bad' END AS error", "CAST(o_orderkey % 3 AS BIGINT) AS n_redacted", "CAST(o_orderkey % 2 AS BIGINT) AS n_matched",
+                                                       "o_custkey AS bytes", "CASE WHEN o_orderkey % 5 > 0 THEN array(true, false, CAST(NULL AS BOOLEAN)) END AS changed", "CASE WHEN o_orderkey % 4 > 0 THEN o_custkey END AS peak_mb")
+    return jobs.run_totals(audits)
+
+
+@query(f"WITH {BOXES_SQL}, c AS (SELECT *, (y1 + y2) / 2.0 AS cy FROM boxes), n AS (SELECT *, CASE WHEN cy - lag(cy) OVER o > 8 THEN 1 ELSE 0 END AS new FROM c WINDOW o AS (PARTITION BY file_id ORDER BY cy, x1, idx)) "
+       "SELECT file_id, idx, CAST(sum(new) OVER (PARTITION BY file_id ORDER BY cy, x1, idx ROWS UNBOUNDED PRECEDING) AS BIGINT) AS line FROM n")
+def blob_lines(spark, sf_dir):
+    from ..operators import jobs
+
+    return jobs.blob_lines(boxes(spark, sf_dir)).select("file_id", "idx", "line")
+
+
+@query(f"WITH {BOXES_SQL} SELECT DISTINCT file_id, x1, y1, x2, y2 FROM boxes")
+def distinct_boxes(spark, sf_dir):
+    from ..operators import jobs
+
+    return jobs.distinct_boxes(boxes(spark, sf_dir))
