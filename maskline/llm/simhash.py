@@ -47,6 +47,8 @@ MOST_PARTS = 6
 SAMPLED = 8192
 #: Near copies: shingles of a block of a hot bucket; documents whose shingles are counted to order prefixes, and how many are kept (cost only).
 BLOCK_SHINGLES, SAMPLE, MOST_COMMON = 1 << 20, 8192, 1 << 17
+#: Near copies: one shingle hash in so many is counted over all documents to order prefixes (cost only).
+COUNTED = 3
 
 
 def fingerprint(text: bytes | None, width: int = 3) -> int:
@@ -266,33 +268,64 @@ def _common_shingles(docs: DataFrame, work: Workspace, words: int) -> tuple[np.n
     return tokens[order], np.array([r["n"] for r in found], np.int64)[order]
 
 
+def _repeated_shingles(docs: DataFrame, work: Workspace, words: int, common: np.ndarray) -> DataFrame:
+    """(rid, often) of rows of docs (rid, text): the COUNTED shingles that several rows have, each with their number, but for those in common (sorted)."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for text in batch.column(1).cast(pa.binary()):
+                own = shingle_hashes(text.as_py(), words)
+                own = own[own % np.uint64(COUNTED) == 0]
+                if len(common):
+                    own = own[common[np.minimum(np.searchsorted(common, own), len(common) - 1)] != own]
+                found.append(own)
+            rids = np.repeat(batch.column(0).to_numpy(), [len(own) for own in found])
+            yield pa.RecordBatch.from_arrays([pa.array(rids), pa.array(np.concatenate([*found, np.zeros(0, np.uint64)]).view(np.int64))], names=["rid", "token"])
+
+    entries = work.save(docs.select("rid", "text").mapInArrow(counted, "rid long, token long"), "counted")
+    several = work.save(entries.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1"), "several")
+    often = entries.join(sized(several, several.count(), 24), "token").groupBy("rid").agg(F.collect_list(F.struct("token", "n")).alias("often"))
+    often = work.save(often, "often")
+    work.drop(entries)
+    work.drop(several)
+    return often
+
+
 def _prefixes(docs: DataFrame, work: Workspace, words: int, similarity: float) -> DataFrame:
     """docs (rid, doc_id, text) to (rid, doc_id, high, low, size, prefix): digest and size of the shingle set, and its rarest shingles.
 
     Two sets whose Jaccard similarity reaches `similarity` share a shingle among their first size - ceil(similarity * size) + 1,
-    in any order of shingles that is the same for all.
+    in any order of shingles that is the same for all. Here: counted ones that no other row has, those not counted, counted ones by the number of rows
+    that have them, and last those that several sampled rows have. So a text of which enough is its own meets no other.
     """
     common, seen = _common_shingles(docs, work, words)
+    often = _repeated_shingles(docs, work, words, common)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             digests, sizes, prefixes = [], [], []
-            for text in batch.column(2).cast(pa.binary()):
+            known = batch.column(3)
+            for k, text in enumerate(batch.column(2).cast(pa.binary())):
                 own = shingle_hashes(text.as_py(), words)
                 digests.append(xxhash.xxh3_128_digest(own.tobytes()))
                 sizes.append(len(own))
                 n = len(own) - ceil(similarity * len(own) - 1e-9) + 1 if len(own) else 0
-                often = np.zeros(len(own), np.int64)
+                rows = np.where(own % np.uint64(COUNTED) == 0, -1, 0)
+                if known[k].is_valid:
+                    pairs = known[k].values
+                    rows[np.searchsorted(own, pairs.field(0).to_numpy().view(np.uint64))] = pairs.field(1).to_numpy()
                 if len(common):
                     at = np.minimum(np.searchsorted(common, own), len(common) - 1)
-                    often = np.where(common[at] == own, seen[at], 0)
-                prefixes.append(own[np.lexsort((own, often))][:n].view(np.int64))
+                    rows = np.where(common[at] == own, (1 << 48) + seen[at], rows)
+                prefixes.append(own[np.lexsort((own, rows))][:n].view(np.int64))
             both = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(np.ascontiguousarray(both[:, 0])), pa.array(np.ascontiguousarray(both[:, 1])), pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64()))],
                 names=["rid", "doc_id", "high", "low", "size", "prefix"])
 
-    return docs.mapInArrow(add, "rid long, doc_id long, high long, low long, size int, prefix array<long>")
+    rows = docs.join(often, "rid", "left").select("rid", "doc_id", "text", "often")
+    return rows.mapInArrow(add, "rid long, doc_id long, high long, low long, size int, prefix array<long>")
 
 
 def _joining_links(rids: np.ndarray, sets: list[np.ndarray], roots: np.ndarray, similarity: float) -> list[tuple[int, int]]:
