@@ -6,7 +6,7 @@ after a byte whose hash has its top MASK_BITS bits zero, is at least LEAST and a
 even text that repeats itself is cut by content. Chunk ends depend on content, so an insertion shifts them only nearby. Of equal chunks the
 first (smallest id, then row, then place) stays. Later copies side by side are a run; every run, of one chunk too, is widened
 byte by byte as far as it agrees with what stands beside the first copies of its outer
-chunks (runs that agree all of REACH bytes are looked at again over whole texts), and goes if it then has at least `least_run`
+chunks (over REACH bytes, then four times as many for runs that agree on all of those, and so on), and goes if it then has at least `least_run`
 bytes; shorter ones are chance repeats and stay. Decisions are taken
 on the input as it is, and always against an earlier place, so one copy of every passage stays.
 
@@ -31,7 +31,8 @@ from .storage import Workspace, free_name, numbered, sized
 LEAST, MASK_BITS, MOST = 24, 5, 256
 #: 50 words or so of the shortest kind: runs of repeated chunks below this are left alone.
 LEAST_RUN = 120
-REACH = 256
+#: Bytes beside a run that are looked at first, and at most (texts are shorter).
+REACH, MOST_REACH = 256, 1 << 30
 
 #: One 32-bit value per byte, from a fixed seed.
 GEAR = np.random.default_rng(20240229).integers(0, 1 << 32, 256, dtype=np.uint32)
@@ -172,11 +173,19 @@ def repeated_runs(rows: DataFrame, work: Workspace, least_run: int = LEAST_RUN)
         pick = lambda left: F.max(F.when(F.col("is_left") == left, F.col("wider")))
         return wide.groupBy("rid", "a", "b").agg(pick(True).alias("l"), pick(False).alias("r"))
 
-    each = work.save(widened(runs, REACH), "widened")
-    far = each.filter(F.greatest("l", "r") >= REACH)
-    if not far.isEmpty():
-        again = runs.join(far.select("rid", "a", "b"), ["rid", "a", "b"], "left_semi").select(*runs.columns)
-        each = each.filter(F.greatest("l", "r") < REACH).unionByName(work.save(widened(work.save(again, "far"), 1 << 30), "widened-far"))
+    # what agrees as far as it was looked at is looked at four times as far, so no row carries much more than it agrees on
+    done, reach, some = [], REACH, runs
+    while True:
+        wide = work.save(widened(some, reach), "widened")
+        done.append(wide.filter(F.greatest("l", "r") < reach) if reach < MOST_REACH else wide)
+        far = wide.filter(F.greatest("l", "r") >= reach)
+        if reach == MOST_REACH or far.isEmpty():
+            break
+        some = work.save(runs.join(far.select("rid", "a", "b"), ["rid", "a", "b"], "left_semi").select(*runs.columns), "far")
+        reach = min(4 * reach, MOST_REACH)
+    each = done[0]
+    for part in done[1:]:
+        each = each.unionByName(part)
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
