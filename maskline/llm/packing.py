@@ -32,7 +32,7 @@ SEQUENCE, END_ID = 4096, 1
 #: Open bins of a partition, and pieces that a partition packs: enough that bins left open at its end hardly count.
 OPEN, PER_PARTITION = 1024, 25_000
 #: Words of a generation kept with their ids in a Python worker (two generations at most), and the longest word kept.
-CACHE_WORDS, LONGEST_WORD = 600_000, 48
+CACHE_WORDS, LONGEST_WORD = 150_000, 48
 
 #: Marks that are a token of their own after letters.
 MARKS = frozenset(".,!?;:|")

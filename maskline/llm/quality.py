@@ -37,7 +37,7 @@ BUCKETS = 1 << 16
 SMOOTHING, SEED = 50.0, 17
 MOST_LABELS = 200_000
 TOKEN = re.compile(r"\w+|[^\w\s]+")
-CACHE_TOKENS = 300_000
+CACHE_TOKENS = 100_000
 
 
 def _form(token: str) -> str:
