@@ -56,8 +56,10 @@ def digest_to_uid(digest: Column) -> Column:
         return F.struct(x["high"].alias("high"), (whole(x["high"] * F.lit(709551616).cast("decimal(10,0)")) + whole(x["low"])).alias("rest"))
 
     def digits(x: Column) -> Column:
-        upper = whole(x["high"] * F.lit(18446744073).cast("decimal(11,0)")) + whole(F.floor(x["rest"] / billion))
-        return F.struct(upper.alias("upper"), (x["rest"] % billion).cast("decimal(10,0)").cast("string").alias("lower"))
+        # the remainder goes first: a quotient is rounded at its sixth place, up to the next whole number from .9999995 on
+        low = (x["rest"] % billion).cast("decimal(10,0)")
+        upper = whole(x["high"] * F.lit(18446744073).cast("decimal(11,0)")) + whole((x["rest"] - low) / billion)
+        return F.struct(upper.alias("upper"), low.cast("string").alias("lower"))
 
     def text(x: Column) -> Column:
         return F.when(x["upper"] == 0, x["lower"]).otherwise(F.concat(x["upper"].cast("string"), F.lpad(x["lower"], 9, "0")))

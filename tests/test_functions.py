@@ -76,6 +76,13 @@ def test_uid_of_extreme_digests(spark):
     assert column(frame, hashing.digest_to_uid(F.col("d"))) == ["2.25." + str(uuid.UUID(hex=d[:32]).int) for d in digests]
 
 
+def test_uid_where_a_quotient_would_round_up(spark):
+    numbers = [10**9 - 1, 10**9 - 500, 10**9 - 501, 2**64 - 1, 7 * 10**18 + 10**9 - 1]
+    numbers += [high << 64 | (10**9 - k - high * 709551616) % 10**9 for high in (1, 12345678901, 2**64 - 1) for k in (1, 250, 500, 501)]
+    frame = spark.createDataFrame([(f"{n:032x}" + "0" * 32,) for n in numbers], "d string")
+    assert column(frame, hashing.digest_to_uid(F.col("d"))) == [f"2.25.{n}" for n in numbers]
+
+
 def test_subkey_and_stream(odd):
     got = column(odd, hashing.subkey("secret", F.col("v")))[:-1]
     assert got == [hmac.new(b"secret", v.encode(), hashlib.sha256).digest()[:16].hex() for v in ODD]
