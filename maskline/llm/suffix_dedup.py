@@ -7,7 +7,8 @@
    bitmaps: which of them other documents have too, and which are so frequent (HOT) that they must be split.
 3. A shard sends the stretch of text of each repeated anchor (its windows' bytes), equal stretches once with their least id, to
    the task of the anchor; under a hot anchor, windows go one by one, by a hash of their own, so no task gathers them.
-4. That task forms bounded groups, suffix-sorts each by Larsson-Sadakane refinement in numpy (8-byte start keys, then
+   Text and numbers of all stretches that one shard sends to one range are one compressed row, and go by shuffle alone.
+4. That task takes the anchors of its range in PARTS turns. In each it forms bounded groups, suffix-sorts each by Larsson-Sadakane refinement in numpy (8-byte start keys, then
    doubling only what is unsorted), finds the common prefixes by Kasai's method, run over all stretches side by side,
    and merges the groups' sorted windows by binary search. Comparison is by bytes: hashes only route. The least id of each
    window goes back to the shard, which marks covered bytes.
@@ -33,11 +34,15 @@ from .storage import Workspace, partitions
 
 LENGTH, GRAM = 50, 24
 #: Bytes of text per shard and per hash range, bytes of a suffix-sorted group, and windows hashed at once.
-SHARD, RANGE, GROUP, STEP = 8 << 20, 2 << 20, 2 << 20, 1 << 19
+SHARD, RANGE, GROUP, STEP = 8 << 20, 8 << 20, 2 << 20, 1 << 19
+#: Turns in which a range's anchors are compared, so memory goes by a turn and the rows between shards and ranges stay few.
+PARTS = 4
 #: Most buckets that a table may have; beyond that shards and ranges grow with the input.
 MOST_SHARDS = 100_000
 #: Documents with one anchor beyond which its windows are dealt one by one.
 HOT = 1024
+#: What is sent of a stretch beside its bytes. An anchor's lowest bits do: two that are taken for one cost time only.
+ABOUT = np.dtype([("size", "<u2"), ("low", "<i8"), ("spread", "<i8"), ("gap", "<u4"), ("anchor", "<u4")])
 #: An anchor entry is 6 bytes: 45 bits of hash over 3 bits that tell in how many documents of the shard it is.
 ENTRY_BITS = 45
 COUNT_STEPS = np.array([1, 2, 8, 32, 128, 512, 2048, 8192])
@@ -253,6 +258,25 @@ def least_ids(stretches: bytes, sizes: np.ndarray, ids: np.ndarray) -> tuple[np.
     return tuple(np.concatenate(c) for c in zip(*out))
 
 
+def _about(size: np.ndarray, low: np.ndarray, high: np.ndarray, number: np.ndarray, anchor: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """A row of bytes (of ABOUT) per stretch; between two edges numbers rise, and each is the step from the one before."""
+    out = np.zeros(len(size), ABOUT)
+    out["size"], out["low"], out["spread"] = size, low, high - low  # wraps around, and back in _stretches
+    step = np.diff(number, prepend=0)
+    heads = edges[:-1][edges[:-1] < edges[1:]]
+    step[heads] = number[heads]
+    out["gap"], out["anchor"] = step, anchor & np.uint64(0xFFFFFFFF)
+    return out.view(np.uint8).reshape(-1, ABOUT.itemsize)
+
+
+def _stretches(blob: bytes, n: int) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """(text, what _about had of each stretch, numbers) of a row's n stretches: their ABOUT byte by byte, then their text."""
+    raw = zstandard.ZstdDecompressor().decompress(blob)
+    cut = n * ABOUT.itemsize
+    about = np.ascontiguousarray(np.frombuffer(raw, np.uint8, cut).reshape(ABOUT.itemsize, n).T).view(ABOUT).ravel()
+    return raw[cut:], about, np.cumsum(about["gap"], dtype=np.int64)
+
+
 def _blobs(rows: list[tuple], schema: pa.Schema) -> pa.Table:
     return pa.Table.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(schema)], schema=schema)
 
@@ -319,7 +343,7 @@ def _over_shards(texts: DataFrame, work: Workspace, shards: int, ranges: int, wi
     marks = texts.groupBy("shard").applyInArrow(anchors, "range int, shard int, entries binary")
     marks = work.save(marks.groupBy("range").applyInArrow(repeated, "shard int, range int, often binary, hot binary"), "marks")
 
-    out_schema = pa.schema([("kind", pa.int32()), ("range", pa.int32()), ("shard", pa.int32()), ("body", pa.binary()), ("sizes", pa.binary()), ("ids", pa.binary()), ("numbers", pa.binary()), ("anchors", pa.binary())])
+    out_schema = pa.schema([("range", pa.int32()), ("shard", pa.int32()), ("n", pa.int32()), ("body", pa.binary())])
 
     def stretches(group: pa.Table, answers: pa.Table) -> pa.Table:
         if not group.num_rows or not answers.num_rows:
@@ -365,33 +389,49 @@ def _over_shards(texts: DataFrame, work: Workspace, shards: int, ranges: int, wi
         press = zstandard.ZstdCompressor(level=1).compress
         order = np.argsort(where, kind="stable")
         edges = np.searchsorted(where[order], np.arange(ranges + 1))
+        sizes = np.fromiter(map(len, bodies), np.int64, len(bodies))
+        about = _about(sizes[order], low[order], high[order], order, key[order], edges)
         rows = []
         for r in range(ranges):
-            pick = order[edges[r] : edges[r + 1]]
-            if len(pick):
-                rows.append((0, r, number, press(b"".join([bodies[k] for k in pick.tolist()])), np.array([len(bodies[k]) for k in pick.tolist()], "<u2").tobytes(),
-                             np.stack([low[pick], high[pick]]).astype("<i8").tobytes(), pick.astype("<i4").tobytes(), key[pick].astype("<u8").tobytes()))
+            a, b = edges[r], edges[r + 1]
+            if b > a:
+                rows.append((r, number, int(b - a), press(about[a:b].T.tobytes() + b"".join([bodies[k] for k in order[a:b].tolist()]))))
+        # a shard's own notes come back to it by the way of the others: its range is that of no anchor
         spots = np.stack([doc_, first_ - own.starts[doc_], number_of]).astype("<i8")
-        rows.append((1, -1, number, press(spots.tobytes()), None, None, None, None))
+        rows.append((-1 - number, number, 0, press(spots.tobytes())))
         return _blobs(rows, out_schema)
 
-    sent = work.save(texts.groupBy("shard").cogroup(marks.groupBy("shard")).applyInArrow(stretches, "kind int, range int, shard int, body binary, sizes binary, ids binary, numbers binary, anchors binary"), "stretches")
-    work.drop(marks)
+    sent = texts.groupBy("shard").cogroup(marks.groupBy("shard")).applyInArrow(stretches, "range int, shard int, n int, body binary")
+    back_schema = pa.schema([("shard", pa.int32()), ("kind", pa.int32()), ("body", pa.binary())])
 
     def earlier(group: pa.Table) -> pa.Table:
-        unpack = zstandard.ZstdDecompressor().decompress
-        body = b"".join(map(unpack, group.column("body").to_pylist()))
-        sizes = [np.frombuffer(b, "<u2") for b in group.column("sizes").to_pylist()]
-        ids = np.concatenate([np.frombuffer(b, "<i8").reshape(2, -1) for b in group.column("ids").to_pylist()], axis=1)
-        numbers = [np.frombuffer(b, "<i4") for b in group.column("numbers").to_pylist()]
-        shard = np.repeat(np.array(group.column("shard").to_pylist()), [len(s) for s in sizes])
-        sizes = np.concatenate(sizes).astype(np.int64)
-        ends = np.cumsum(sizes)
+        owners, counts, blobs = (group.column(c).to_pylist() for c in ("shard", "n", "body"))
+        if group.column("range")[0].as_py() < 0:
+            return _blobs([(s, 1, b) for s, b in zip(owners, blobs)], back_schema)
+        body, about, numbers = zip(*map(_stretches, blobs, counts))
+        body, about, numbers = b"".join(body), np.concatenate(about), np.concatenate(numbers)
+        shard = np.repeat(np.array(owners), counts)
+        ends = np.cumsum(about["size"], dtype=np.int64)
+        found = []
+        for turn in range(PARTS):
+            # a range is told by an anchor's highest bits, a turn by its lowest
+            mine = np.flatnonzero(about["anchor"] % PARTS == turn)
+            if len(mine):
+                found.append(compared(body, ends[mine], about[mine], numbers[mine], shard[mine]))
+        runs, owner = (np.concatenate(c, axis=-1) for c in zip(*found))
+        order = np.argsort(owner, kind="stable")
+        names, at = np.unique(owner[order], return_index=True)
+        press = zstandard.ZstdCompressor(level=1).compress
+        return _blobs([(int(s), 0, press(np.ascontiguousarray(runs[:, order[a:b]]).tobytes())) for s, a, b in zip(names, at, [*at[1:], len(order)])], back_schema)
+
+    def compared(body: bytes, ends: np.ndarray, about: np.ndarray, numbers: np.ndarray, shard: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(stretch number, first window, end, least id) of runs of windows that an earlier document has, and the shard of each."""
+        sizes = about["size"].astype(np.int64)
         known: dict[bytes, int] = {}
         kind = np.fromiter((known.setdefault(body[b - n : b], len(known)) for b, n in zip(ends.tolist(), sizes.tolist())), np.int64, len(sizes))
-        low, anchor, size = np.full(len(known), NO_ID, np.int64), np.zeros(len(known), np.uint64), np.zeros(len(known), np.int64)
-        np.minimum.at(low, kind, ids[0])
-        anchor[kind] = np.concatenate([np.frombuffer(b, "<u8") for b in group.column("anchors").to_pylist()])
+        low, anchor, size = np.full(len(known), NO_ID, np.int64), np.zeros(len(known), np.uint32), np.zeros(len(known), np.int64)
+        np.minimum.at(low, kind, about["low"])
+        anchor[kind] = about["anchor"]
         size[kind] = sizes
         # windows of an anchor with one stretch only are in no other stretch
         _, family, members = np.unique(anchor, return_inverse=True, return_counts=True)
@@ -411,18 +451,11 @@ def _over_shards(texts: DataFrame, work: Workspace, shards: int, ranges: int, wi
         times = hi - lo
         pick = np.repeat(lo, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
         sent_as = np.repeat(np.arange(len(kind)), times)
-        useful = table[3][pick] < ids[1][sent_as]  # some document of that shard comes after the first that has the windows
+        useful = table[3][pick] < (about["low"] + about["spread"])[sent_as]  # some document of that shard comes after the first that has the windows
         pick, sent_as = pick[useful], sent_as[useful]
-        runs = np.concatenate([np.concatenate(numbers).astype(np.int64)[sent_as][None, :], table[1:, pick]]).astype("<i8")
-        owner = shard[sent_as]
-        order = np.argsort(owner, kind="stable")
-        names, at = np.unique(owner[order], return_index=True)
-        press = zstandard.ZstdCompressor(level=1).compress
-        rows = [(int(s), press(np.ascontiguousarray(runs[:, order[a:b]]).tobytes())) for s, a, b in zip(names, at, [*at[1:], len(order)])]
-        return _blobs(rows, pa.schema([("shard", pa.int32()), ("body", pa.binary())]))
+        return np.concatenate([numbers[sent_as][None, :], table[1:, pick]]).astype("<i8"), shard[sent_as]
 
-    back = sent.filter("kind = 0").groupBy("range").applyInArrow(earlier, "shard int, body binary")
-    notes = sent.filter("kind = 1").select("shard", F.lit(1).alias("kind"), "body").unionByName(back.select("shard", F.lit(0).alias("kind"), "body"))
+    notes = sent.groupBy("range").applyInArrow(earlier, "shard int, kind int, body binary")
     span = "array<struct<a:bigint,b:bigint>>"
 
     def finish(group: pa.Table, notes: pa.Table) -> pa.Table:
@@ -468,5 +501,5 @@ def _over_shards(texts: DataFrame, work: Workspace, shards: int, ranges: int, wi
     done = texts.groupBy("shard").cogroup(notes.groupBy("shard")).applyInArrow(
         finish, f"rid long, doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, spans {span}")
     out = work.save(done, "result")
-    work.drop(sent)
+    work.drop(marks)
     return out

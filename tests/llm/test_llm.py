@@ -608,6 +608,21 @@ def test_suffix_dedup(spark, corpus, monkeypatch, hot):
         assert suffix_dedup.suffix_dedup(frame(spark, [])).count() == 0
 
 
+def test_stretches_are_never_saved_and_pack_small(spark, corpus, monkeypatch):
+    saved, save = [], suffix_dedup.Workspace.save
+    monkeypatch.setattr(suffix_dedup.Workspace, "save", lambda work, df, name="t", **more: saved.append(name) or save(work, df, name, **more))
+    rows = [r for r in corpus if r[0] != 13]
+    got = suffix_dedup.suffix_dedup(frame(spark, [*rows, (-7, rows[0][1]), (None, rows[1][1])])).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(plain_suffix([*rows, (-7, rows[0][1]), (None, rows[1][1])]), key=str)
+    assert saved == ["marks", "result"]
+    low, high = np.array([-(2**63), -7, 5, 6, 7]), np.array([2**63 - 1, 2**63 - 1, 5, 9, 7])
+    about = suffix_dedup._about(np.arange(50, 55), low, high, np.array([3, 9, 2**31, 0, 4]), np.arange(5, dtype=np.uint64) << np.uint64(30), np.array([0, 0, 3, 3, 5]))
+    for a, b, numbers in ((0, 3, [3, 9, 2**31]), (3, 5, [0, 4])):
+        body, back, number = suffix_dedup._stretches(suffix_dedup.zstandard.ZstdCompressor().compress(about[a:b].T.tobytes() + b"text"), b - a)
+        assert (body, number.tolist(), back["size"].tolist(), back["low"].tolist()) == (b"text", numbers, list(range(50 + a, 50 + b)), low[a:b].tolist())
+        assert (back["low"] + back["spread"]).tolist() == high[a:b].tolist() and back["anchor"].tolist() == [k << 30 & 0xFFFFFFFF for k in range(a, b)]
+
+
 def test_least_ids_over_groups(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "GROUP", 300)
     rng = random.Random(11)
