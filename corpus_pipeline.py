@@ -32,7 +32,7 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, similarity of 0.8 or more; every such pair counts, whatever its fingerprints."""
+    """One document of each group of near copies: five-word shingles, similarity of 0.8 or more. SimHash finds them first, an exact join the pairs that it misses."""
     work = Workspace(spark, "near")
     return _of(work, simhash.drop_near_copies(docs, work=work))
 

@@ -13,7 +13,8 @@ distinct fingerprint probes every value within t_i bits of its own; those that m
 HOT probes are verified in the join itself. Larger ones are cut into blocks, every pair of blocks is compared in numpy,
 and only a spanning forest of the true links is kept, so output stays linear in the bucket.
 
-Near copies (drop_near_copies) are found without fingerprints, by an exact Jaccard join over prefixes of shingle sets.
+Near copies (drop_near_copies) are found by this search first, each link verified by Jaccard similarity; an exact join over prefixes of
+shingle sets then adds the links between groups that lie further apart in their fingerprints.
 
 Defined results: null text counts as empty (fingerprint zero, linked like any other); rows with the same id stay apart as
 rows; a null id belongs to its component but is never its smallest; component_id is null only where all ids are; an empty
@@ -390,10 +391,28 @@ def _verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame, work: Workspac
     return work.save(own.join(other, ["u", "v"]).select("u", "v", "x", "y").mapInArrow(verify, "u long, v long"), "links")
 
 
+def print_links(rows: DataFrame, docs: DataFrame, work: Workspace, words: int, similarity: float, limit: int = 3) -> DataFrame:
+    """(u, v) links of that Jaccard similarity between rows of distinct sets (rid, size, prefix), found by their fingerprints.
+
+    Of each fingerprint the row of smallest rid stands for it: the fingerprint's other rows, and those that stand for fingerprints within
+    limit bits of it, are candidates, each verified. Links that these miss are similar_links' to find.
+    """
+    held = docs.join(rows.select("rid"), "rid", "left_semi")
+    prints = work.save(with_fingerprints(held.select("rid", "text")).drop("text"), "fingerprints")
+    firsts = work.save(prints.groupBy("fp").agg(F.min("rid").alias("first")), "distinct")
+    n = firsts.count()
+    first = lambda end: sized(firsts.select(F.col("fp").alias(end), F.col("first").alias(f"{end}_first")), n, 24)
+    own = prints.join(sized(firsts, n, 24), "fp").filter("rid <> first").select(F.col("rid").alias("u"), F.col("first").alias("v"))
+    found = work.save(links(firsts, work, limit), "print-links")
+    far = found.join(first("u"), "u").join(first("v"), "v").select(F.greatest("u_first", "v_first").alias("u"), F.least("u_first", "v_first").alias("v"))
+    return _verified(work.save(own.union(far).distinct(), "print-pairs"), rows, docs, work, words, similarity)
+
+
 def similar_links(rows: DataFrame, docs: DataFrame, work: Workspace, words: int, similarity: float) -> DataFrame:
     """(u, v) links between rows of distinct sets (rid, size, prefix): enough of those of that Jaccard similarity to connect all that are linked.
 
-    Linked rows share a prefix shingle, so meet in its bucket. Every row is first compared with two of each of its buckets: the least, and the
+    Links by fingerprints come first; what follows looks only at pairs between the groups that those make.
+    Linked rows share a prefix shingle, so meet in its bucket. Every row is compared with two of each of its buckets: the least, and the
     one with most repeated shingles, which the others are likely to be edits of. Where that leaves a bucket in several groups, its
     pairs between groups are looked at: in buckets of up to NEAR_HOT rows each pair is a row, bounded by places and sizes, and verified;
     larger ones are cut into blocks with their sets, and every pair of blocks is verified in numpy. So every link between rows
@@ -404,9 +423,12 @@ def similar_links(rows: DataFrame, docs: DataFrame, work: Workspace, words: int,
     n_buckets = buckets.count()
     if not n_buckets:
         return work.spark.createDataFrame([], "u long, v long")
-    live = work.save(entries.join(sized(buckets, n_buckets, 40), "token"), "entries")
+    by_print = print_links(rows, docs, work, words, similarity)
+    grouped = work.save(components(by_print, work), "print-roots")
+    own_root = lambda some, roots: some.join(sized(roots, roots.count(), 24), F.col("rid") == F.col("node"), "left").withColumn("root", F.coalesce("root", "rid")).drop("node")
+    live = work.save(own_root(entries.join(sized(buckets, n_buckets, 40), "token"), grouped), "entries")
     repeats = live.groupBy("rid").agg(F.count("*").alias("repeats"))
-    place = F.struct("rid", "size", "pos")
+    place = F.struct("rid", "size", "pos", "root")
     heads = live.join(repeats, "rid").groupBy("token").agg(F.min(place).alias("least"), F.max(F.struct("repeats", (-F.col("rid")).alias("r"), place.alias("place")))["place"].alias("central"))
     heads = work.save(heads.select("token", F.explode(F.array_distinct(F.array("least", "central"))).alias("head")), "heads")
     least = similarity / (1 + similarity)  # of the sum of both sizes: the shingles that a linked pair shares
@@ -416,13 +438,12 @@ def similar_links(rows: DataFrame, docs: DataFrame, work: Workspace, words: int,
         rest = F.least(F.expr(f"{a}.size - {a}.pos - 1"), F.expr(f"{b}.size - {b}.pos - 1"))
         return F.least(f"{a}.pos", f"{b}.pos") + 1 + rest >= least * (F.col(f"{a}.size") + F.col(f"{b}.size")) - 1e-6
 
-    met = live.alias("a").join(heads, "token").filter((F.col("a.rid") != F.col("head.rid")) & may_link("a", "head"))
+    met = live.alias("a").join(heads, "token").filter((F.col("a.root") != F.col("head.root")) & may_link("a", "head"))
     stars = work.save(met.select(F.greatest("a.rid", "head.rid").alias("u"), F.least("a.rid", "head.rid").alias("v")).distinct(), "stars")
 
-    found = _verified(stars, rows, docs, work, words, similarity)
+    found = _verified(stars, rows, docs, work, words, similarity).union(by_print)
     roots = work.save(components(found, work), "star-roots")
-    rooted = live.filter("n > 3").join(sized(roots, roots.count(), 24), F.col("rid") == F.col("node"), "left").withColumn("root", F.coalesce("root", "rid")).drop("node")
-    rooted = work.save(rooted, "rooted")
+    rooted = work.save(own_root(live.filter("n > 3").drop("root"), roots), "rooted")
     open_ = work.save(rooted.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("token"), "open")
     left = work.save(rooted.join(sized(open_, open_.count(), 16), "token"), "left")
     work.drop(live)
@@ -452,7 +473,7 @@ def near_copy_groups(docs: DataFrame, work: Workspace, text: str = "text", doc_i
     """(rid, keep_rid) of every row of docs in a group of near copies; keep_rid is the row of smallest id.
 
     Two rows are linked if the Jaccard similarity of their sets of `words`-word shingles reaches `similarity`; every such link
-    counts. Fingerprints take no part: at any radius that can be searched they miss links. Rows of equal sets stand as one.
+    counts, whatever the fingerprints: links by fingerprints are found first, the rest by an exact join. Rows of equal sets stand as one.
     Empty texts share no shingle but are alike: they are one group.
     """
     picked = docs.select(F.col(rid).alias("rid"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))

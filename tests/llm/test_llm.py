@@ -2,10 +2,12 @@
 
 import hashlib
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -191,6 +193,26 @@ def test_near_copies_far_in_fingerprint_are_found(spark):
     assert sorted(r["doc_id"] for r in simhash.drop_near_copies(frame(spark, rows)).collect()) == plain_near_copies(rows)
 
 
+def test_near_copies_go_by_fingerprints_first(spark, monkeypatch):
+    """Links come from the fingerprint search, verified; pairs that it has joined are not looked at again, and what it misses is found."""
+    rng = random.Random(24)
+    rows = []
+    for g in range(12):
+        base = words(rng, 400).split()
+        near, far = list(base), list(base)
+        near[200] = words(rng, 1)
+        for at in rng.sample(range(400), 8):
+            far[at] = words(rng, 1)
+        rows += [(10 * g + k, " ".join(t)) for k, t in enumerate((base, near, far))]
+    prints = [plain_fingerprint(t) for _, t in rows]
+    close = sum((prints[3 * g] ^ prints[3 * g + 1]).bit_count() <= 3 for g in range(12))
+    asked, verified, searches, links = [], simhash._verified, [], simhash.links
+    monkeypatch.setattr(simhash, "links", lambda firsts, *more: searches.append(firsts.count()) or links(firsts, *more))
+    monkeypatch.setattr(simhash, "_verified", lambda pairs, *more: asked.append({(r["u"], r["v"]) for r in pairs.collect()}) or verified(pairs, *more))
+    assert sorted(r["doc_id"] for r in simhash.drop_near_copies(frame(spark, rows)).collect()) == plain_near_copies(rows)
+    assert searches == [len(set(prints))] and len(asked[0]) >= close > 3 and not asked[0] & set().union(*asked[1:])
+
+
 def test_near_copies_behind_one_fingerprint_are_found(spark):
     """A shingle repeated so often that it fixes every bit: the rows of the one fingerprint are alike only among themselves."""
     rng = random.Random(23)
@@ -272,6 +294,36 @@ def test_widening_goes_on_beyond_its_reach(spark, monkeypatch):
     assert got[1] == 0 and len(passage) <= got[2] <= len(passage) + 4
 
 
+def test_runs_of_chunks_by_arrays():
+    rng = random.Random(27)
+    kind = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("r", pa.int64()), ("s", pa.int32())]))
+    docs, want = [], []
+    for rid in range(50):
+        at, chunks = 0, []
+        for _ in range(rng.randrange(6)):
+            at += rng.choice((0, 0, 30))
+            size = rng.randint(24, 60)
+            first, place = rng.randrange(2**40), rng.randrange(1000)
+            if chunks and chunks[-1]["b"] == at:
+                want[-1][2], want[-1][5], want[-1][6] = at + size, first, place + size
+            else:
+                want.append([rid, at, at + size, first, place, first, place + size])
+            chunks.append({"a": at, "b": at + size, "r": first, "s": place})
+            at += size
+        docs.append(chunks)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(50), pa.int64()), pa.array(docs, kind)], names=["rid", "c"])
+    for parts in ([batch], [batch.slice(0, 20), batch.slice(20, 0), batch.slice(20)]):
+        out = list(chunk_dedup._runs(iter(parts)))
+        assert [list(r.values()) for o in out for r in o.to_pylist()] == want
+        assert [f.type for f in out[0].schema] == [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int32()]
+    chunks = pa.StructArray.from_arrays([pa.array(x, f.type) for x, f in zip((range(0, 30 * 10**5, 30), range(30, 30 * 10**5 + 30, 30), range(10**5), range(10**5)), kind.value_type)], fields=list(kind.value_type))
+    large = pa.RecordBatch.from_arrays([pa.array([5], pa.int64()), pa.ListArray.from_arrays(pa.array([0, 10**5], pa.int32()), chunks)], names=["rid", "c"])
+    tracemalloc.start()
+    assert list(chunk_dedup._runs(iter([large])))[0].to_pylist()[0]["b"] == 30 * 10**5
+    assert tracemalloc.get_traced_memory()[1] < 100 * 10**5  # over 30 MB as a dictionary per chunk
+    tracemalloc.stop()
+
+
 def test_substring_dedup_recall_by_length(spark):
     """Passages of a length, each in two documents: the share that is found, which the README states."""
     rng = random.Random(23)
