@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .storage import Workspace, free_name, numbered, sized
+from .storage import Workspace, free_name, numbered, sized, slices
 
 LEAST, MASK_BITS, MOST = 24, 5, 256
 #: 50 words or so of the shortest kind: runs of repeated chunks below this are left alone.
@@ -74,7 +74,7 @@ def cut_points(text: bytes) -> list[int]:
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(rid, doc_id, text) to (high, low, doc_id, rid, start, size), a row per chunk."""
     digest = xxhash.xxh3_128_digest
-    for batch in batches:
+    for batch in slices(batches):
         rids, ids = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         out, owners, starts, sizes = [], [], [], []
         for k, text in enumerate(batch.column(2).cast(pa.binary())):
@@ -99,19 +99,16 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(rid, chunks in order) to a row per run: rid, a, b, and where the first copies of its outer chunks begin and end."""
-    for batch in batches:
-        rows: list[list[int]] = []
-        for rid, chunks in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            run: list[int] | None = None
-            for c in chunks:
-                if run and run[2] == c["a"]:
-                    run[2], run[5], run[6] = c["b"], c["r"], c["s"] + c["b"] - c["a"]
-                else:
-                    run = [rid, c["a"], c["b"], c["r"], c["s"], c["r"], c["s"] + c["b"] - c["a"]]
-                    rows.append(run)
-        columns = list(zip(*rows)) or [[]] * 7
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int32()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["rid", "a", "b", "left_rid", "left_at", "right_rid", "right_at"])
+    for batch in slices(batches):
+        chunks = batch.column(1)
+        a, b, r, s = (chunks.values.field(k).to_numpy()[chunks.offsets[0].as_py() : chunks.offsets[-1].as_py()] for k in range(4))
+        owner = np.repeat(np.arange(len(chunks)), np.diff(chunks.offsets.to_numpy()))
+        new = np.ones(len(a), bool)
+        new[1:] = (owner[1:] != owner[:-1]) | (a[1:] != b[:-1])
+        head = np.flatnonzero(new)
+        tail = np.append(head[1:], len(a))[: len(head)] - 1
+        columns = [batch.column(0).to_numpy()[owner[head]], a[head], b[tail], r[head], s[head], r[tail], s[tail] + b[tail] - a[tail]]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["rid", "a", "b", "left_rid", "left_at", "right_rid", "right_at"])
 
 
 def _agree(x: bytes, y: bytes, back: bool) -> int:
@@ -233,7 +230,7 @@ def substring_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     schema = schema.add("removed_bytes", T.LongType()).add("removed_spans", span)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts, gone, spans = [], [], []
             for value, found in zip(batch.column(at_text).cast(pa.binary()), batch.column(at_cuts)):
                 value, found = value.as_py(), found.as_py()

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .graph import components
-from .storage import Workspace, free_name, numbered, sized
+from .storage import Workspace, free_name, numbered, sized, slices
 
 #: Probes that a bucket may hold to be verified in the join; rows of a block beyond that.
 HOT, BLOCK = 128, 2048
@@ -74,7 +74,7 @@ def with_fingerprints(docs: DataFrame, text: str = "text", name: str = "fp", wid
     """docs with one more column, the fingerprint as a signed long."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(batch.schema.get_field_index(text)).cast(pa.binary())
             found = np.fromiter((fingerprint(t.as_py(), width) for t in texts), np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found.view(np.int64))], names=[*batch.schema.names, name])
@@ -273,7 +273,7 @@ def _repeated_shingles(docs: DataFrame, work: Workspace, words: int, common: np.
     """(rid, often) of rows of docs (rid, text): the COUNTED shingles that several rows have, each with their number, but for those in common (sorted)."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = []
             for text in batch.column(1).cast(pa.binary()):
                 own = shingle_hashes(text.as_py(), words)
@@ -304,7 +304,7 @@ def _prefixes(docs: DataFrame, work: Workspace, words: int, similarity: float) -
     often = _repeated_shingles(docs, work, words, common)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             digests, sizes, prefixes = [], [], []
             known = batch.column(3)
             for k, text in enumerate(batch.column(2).cast(pa.binary())):
@@ -357,7 +357,7 @@ def _with_shingles(docs: DataFrame, keys: DataFrame, n: int, words: int, name: s
     columns = keys.columns
 
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             sets = pa.array([shingle_hashes(t.as_py(), words).tobytes() for t in batch.column(len(columns)).cast(pa.binary())], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], sets], names=[*columns, name])
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import contextlib
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +14,8 @@ from ..sources.saved import filesystem, shared_dir
 
 #: A side of a join is broadcast only when its counted rows times their width stay below this.
 BROADCAST_BYTES = 32 << 20
+#: Rows of documents that a Python function takes and gives at once.
+SLICE = 512
 
 
 class Workspace:
@@ -59,6 +63,13 @@ class Workspace:
             system.delete(target, True)
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of batches, SLICE at most at a time: workers keep what their largest piece took, and so does the executor that reads it."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE):
+            yield batch.slice(at, SLICE)
+
+
 def sized(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     """df marked for broadcast if rows * row_bytes is within BROADCAST_BYTES; beyond that, unmarked: a shuffled join."""
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df

@@ -294,6 +294,17 @@ def test_widening_goes_on_beyond_its_reach(spark, monkeypatch):
     assert got[1] == 0 and len(passage) <= got[2] <= len(passage) + 4
 
 
+def test_chunks_go_in_small_pieces():
+    """Long batches come out in pieces, so memory goes by a piece; the rows are the same."""
+    rng = random.Random(28)
+    texts = [words(rng, rng.randrange(200)) or None for _ in range(1500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1500), pa.int64()), pa.array(range(1500), pa.int64()), pa.array(texts)], names=["rid", "doc_id", "text"])
+    out = list(chunk_dedup._chunks(iter([batch])))
+    assert len(out) == 3 and [len(set(o.column(3).to_pylist())) <= 512 for o in out] == [True] * 3
+    rows = [(o["rid"], o["start"], o["size"]) for b in out for o in b.to_pylist()]
+    assert rows == [(k, a, b - a) for k, t in enumerate(texts) if t for ends in [chunk_dedup.cut_points(t.encode())] for a, b in zip([0, *ends], ends)]
+
+
 def test_runs_of_chunks_by_arrays():
     rng = random.Random(27)
     kind = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("r", pa.int64()), ("s", pa.int32())]))
