@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .storage import Workspace, free_name, numbered, sized, slices
+from .storage import Workspace, free_name, lean, numbered, sized, slices
 
 LEAST, MASK_BITS, MOST = 24, 5, 256
 #: 50 words or so of the shortest kind: runs of repeated chunks below this are left alone.
@@ -71,6 +71,7 @@ def cut_points(text: bytes) -> list[int]:
     return ends
 
 
+@lean
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(rid, doc_id, text) to (high, low, doc_id, rid, start, size), a row per chunk."""
     digest = xxhash.xxh3_128_digest
@@ -97,6 +98,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+@lean
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(rid, chunks in order) to a row per run: rid, a, b, and where the first copies of its outer chunks begin and end."""
     for batch in slices(batches):
@@ -161,6 +163,7 @@ def repeated_runs(rows: DataFrame, work: Workspace, least_run: int = LEAST_RUN)
 
         both = beside("own", "a", "b", "mine").join(beside("first", "left_at", "right_at", "other"), ["rid", "a", "b", "is_left"])
 
+        @lean
         def widen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 width = [_agree(x.as_py(), y.as_py(), left) for x, y, left in zip(batch.column(4), batch.column(5), batch.column(3).to_pylist())]
@@ -184,6 +187,7 @@ def repeated_runs(rows: DataFrame, work: Workspace, least_run: int = LEAST_RUN)
     for part in done[1:]:
         each = each.unionByName(part)
 
+    @lean
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [joined_spans([(s["a"], s["b"], s["l"], s["r"]) for s in spans], least_run) for spans in batch.column(1).to_pylist()]
@@ -229,6 +233,7 @@ def substring_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     span = T.ArrayType(T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.IntegerType())]))
     schema = schema.add("removed_bytes", T.LongType()).add("removed_spans", span)
 
+    @lean
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             texts, gone, spans = [], [], []

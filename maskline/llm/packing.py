@@ -16,7 +16,6 @@ import os
 import re
 import zlib
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 from itertools import islice
 
 import numpy as np
@@ -26,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import Workspace
+from .storage import Workspace, lean, worker_store
 
 SEQUENCE, END_ID = 4096, 1
 #: Open bins of a partition, and pieces that a partition packs: enough that bins left open at its end hardly count.
@@ -130,15 +129,15 @@ class WordEncoder:
         return next(self.encode_all([text]))
 
 
-@lru_cache(1)
 def encoder_for(path: str) -> WordEncoder:
     """One encoder per Python worker, kept over its tasks."""
-    return WordEncoder(path)
+    return worker_store(WordEncoder, path)
 
 
 def pieces(docs: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id", length: int = SEQUENCE, end_id: int = END_ID) -> DataFrame:
     """(row, doc_id, piece, start, length, ids_crc32), a row per piece; row numbers the documents."""
 
+    @lean
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end, width = encoder_for(path), int(end_id).to_bytes(4, "little"), 4 * length
         for batch in batches:
@@ -204,6 +203,7 @@ def pack(docs: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id",
     parts = max(1, -(-cut.count() // PER_PARTITION))
     dealt = cut.withColumn("deal", F.xxhash64("row")).repartition(parts, "deal").sortWithinPartitions("deal", "row", "piece").drop("deal", "row")
 
+    @lean
     def fill(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bins, base = BestFit(length, most_open), TaskContext.get().partitionId() << 33
         for frame in frames:

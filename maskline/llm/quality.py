@@ -24,14 +24,13 @@ import math
 import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import Workspace, free_name, numbered, sized
+from .storage import Workspace, free_name, lean, numbered, sized, worker_store
 
 BUCKETS = 1 << 16
 SMOOTHING, SEED = 50.0, 17
@@ -73,10 +72,9 @@ class Features:
         return (mixed >> np.uint64(48)).astype(np.int64) % BUCKETS
 
 
-@lru_cache(1)
 def features_of_worker() -> Features:
     """One store of tokens per Python worker, kept over its tasks."""
-    return Features()
+    return worker_store(Features)
 
 
 def log_ratio(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
@@ -100,6 +98,7 @@ def sampled_labels(labels: DataFrame, doc_id: str = "doc_id", quality: str = "qu
 def fit(rows: DataFrame) -> np.ndarray:
     """Log ratios per bucket from (text, label). At most BUCKETS sums reach the driver."""
 
+    @lean
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features, target, raw = features_of_worker(), np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
         for batch in batches:
@@ -153,6 +152,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, work: Workspace, text: st
     rows = plain.join(F.broadcast(known), F.col("doc_id") == F.col("label_id"), "left").drop("label_id")
     ratio = fit(rows)
 
+    @lean
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = features_of_worker()
         for batch in batches:

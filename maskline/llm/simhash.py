@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .graph import components
-from .storage import Workspace, free_name, numbered, sized, slices
+from .storage import Workspace, free_name, lean, numbered, sized, slices
 
 #: Probes that a bucket may hold to be verified in the join; rows of a block beyond that.
 HOT, BLOCK = 128, 2048
@@ -73,6 +73,7 @@ def fingerprint(text: bytes | None, width: int = 3) -> int:
 def with_fingerprints(docs: DataFrame, text: str = "text", name: str = "fp", width: int = 3) -> DataFrame:
     """docs with one more column, the fingerprint as a signed long."""
 
+    @lean
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             texts = batch.column(batch.schema.get_field_index(text)).cast(pa.binary())
@@ -85,6 +86,7 @@ def with_fingerprints(docs: DataFrame, text: str = "text", name: str = "fp", wid
 def _bit_counts(prints: DataFrame) -> tuple[int, np.ndarray]:
     """Rows, and over all rows how often bits i and j are both set (64 x 64 sums: a bounded result)."""
 
+    @lean
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, n = np.zeros((64, 64)), 0
         for batch in batches:
@@ -170,6 +172,7 @@ def _probes(prints: DataFrame, chosen: list[tuple[list[int], int]]) -> DataFrame
             flips = sorted({f ^ (1 << b) for f in flips for b in bits} | set(flips))
         masks.append((sum(1 << b for b in bits), np.array(flips, np.uint64)))
 
+    @lean
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.ascontiguousarray(batch.column(0).to_numpy(zero_copy_only=False)).view(np.uint64)
@@ -257,6 +260,7 @@ def _common_shingles(docs: DataFrame, work: Workspace, words: int) -> tuple[np.n
     """Shingles (sorted) that several of about SAMPLE documents have, and how many have them: a bounded guide to the order of prefixes."""
     share = SAMPLE / max(docs.count(), SAMPLE)
 
+    @lean
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for text in batch.column(0).cast(pa.binary()):
@@ -272,6 +276,7 @@ def _common_shingles(docs: DataFrame, work: Workspace, words: int) -> tuple[np.n
 def _repeated_shingles(docs: DataFrame, work: Workspace, words: int, common: np.ndarray) -> DataFrame:
     """(rid, often) of rows of docs (rid, text): the COUNTED shingles that several rows have, each with their number, but for those in common (sorted)."""
 
+    @lean
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             found = []
@@ -303,6 +308,7 @@ def _prefixes(docs: DataFrame, work: Workspace, words: int, similarity: float) -
     common, seen = _common_shingles(docs, work, words)
     often = _repeated_shingles(docs, work, words, common)
 
+    @lean
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             digests, sizes, prefixes = [], [], []
@@ -356,6 +362,7 @@ def _with_shingles(docs: DataFrame, keys: DataFrame, n: int, words: int, name: s
     both = docs.select("rid", "text").join(sized(keys, n, 48), "rid")
     columns = keys.columns
 
+    @lean
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             sets = pa.array([shingle_hashes(t.as_py(), words).tobytes() for t in batch.column(len(columns)).cast(pa.binary())], pa.binary())
@@ -379,6 +386,7 @@ def _verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame, work: Workspac
     own = _with_shingles(docs, some.select(F.col("u").alias("rid"), "v"), k, words, "x").withColumnRenamed("rid", "u")
     other = _with_shingles(docs, some.select(F.col("v").alias("rid"), "u"), k, words, "y").withColumnRenamed("rid", "v")
 
+    @lean
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             linked = []

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
+import functools
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -70,6 +73,49 @@ def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(at, SLICE)
 
 
+#: The store of this Python worker ([key, value] or empty), and whether its task has asked for it.
+_store: list[Any] = []
+_asked = False
+
+
+def worker_store(make: Callable, *key: Any) -> Any:
+    """make(*key), kept over a Python worker's tasks; a worker holds one store at a time, and only while its tasks ask for it."""
+    global _asked
+    _asked = True
+    if not _store or _store[0] != (make, *key):
+        _store.clear()
+        _store[:] = [(make, *key), make(*key)]
+    return _store[1]
+
+
+def begin_task() -> None:
+    global _asked
+    _asked = False
+
+
+def end_task() -> None:
+    """Drop a store that the task did not ask for, and return what Arrow and the C library hold of freed memory to the system."""
+    if not _asked:
+        _store.clear()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # a C library without malloc_trim
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """run for mapInArrow or mapInPandas; at its end the worker, which outlives the stage, gives back memory. Its state is the module's, as run itself may be sent by value."""
+
+    @functools.wraps(run)
+    def leanly(batches: Iterator) -> Iterator:
+        begin_task()
+        try:
+            yield from run(batches)
+        finally:
+            end_task()
+
+    return leanly
+
+
 def sized(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     """df marked for broadcast if rows * row_bytes is within BROADCAST_BYTES; beyond that, unmarked: a shuffled join."""
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df

@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from maskline.llm import (
-    bpe, chunk_dedup, embedding_dedup, exact_dedup, line_dedup, packing, quality, simhash, suffix_dedup, toxicity,
+    bpe, chunk_dedup, embedding_dedup, exact_dedup, line_dedup, packing, quality, simhash, storage, suffix_dedup, toxicity,
 )
 from maskline.llm.graph import components
 from maskline.llm.storage import Workspace
@@ -305,6 +305,41 @@ def test_chunks_go_in_small_pieces():
     assert rows == [(k, a, b - a) for k, t in enumerate(texts) if t for ends in [chunk_dedup.cut_points(t.encode())] for a, b in zip([0, *ends], ends)]
 
 
+def test_workers_keep_one_store_while_asked_for(spark):
+    """A Python worker outlives its stage: it holds one store, the one asked for last, and none after a task that asks for none."""
+    held = []
+
+    def task(*make):
+        def run(batches):
+            held.append(storage.worker_store(*make) if make else None)
+            yield from batches
+
+        return list(storage.lean(run)(iter([1, 2])))
+
+    assert task(dict) == task(dict) == [1, 2] and held[0] is held[1]
+    task(list, "ab")
+    assert held[2] == ["a", "b"] and storage._store == [(list, "ab"), held[2]]
+    task()
+    assert storage._store == []
+    storage.worker_store(dict)
+    batch = pa.RecordBatch.from_arrays([pa.array([1], pa.int64()), pa.array([1], pa.int64()), pa.array(["one two"])], names=["rid", "doc_id", "text"])
+    assert len(list(chunk_dedup._chunks(iter([batch])))) == 1 and storage._store == []
+
+    def stores(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(storage._store)], pa.int64())], names=["n"])
+
+    one = spark.range(1).repartition(1)
+    path = public_tokenizers.path("word_bpe_49k.json")
+
+    @storage.lean
+    def asks(batches):  # a closure, which is sent to the worker by value
+        packing.encoder_for(path)
+        yield from stores(batches)
+
+    assert [r["n"] for r in one.mapInArrow(asks, "n long").collect()] == [2]
+
+
 def test_runs_of_chunks_by_arrays():
     rng = random.Random(27)
     kind = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("r", pa.int64()), ("s", pa.int32())]))
