@@ -14,9 +14,9 @@ from __future__ import annotations
 
 import os
 import re
+import unicodedata
 import zlib
 from collections.abc import Iterable, Iterator
-from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -31,29 +31,48 @@ SEQUENCE, END_ID = 4096, 1
 #: Open bins of a partition, and pieces that a partition packs: enough that bins left open at its end hardly count.
 OPEN, PER_PARTITION = 1024, 25_000
 #: Words of a generation kept with their ids in a Python worker (two generations at most), and the longest word kept.
-CACHE_WORDS, LONGEST_WORD = 150_000, 48
+CACHE_WORDS, LONGEST_WORD = 250_000, 48
 
 #: Marks that are a token of their own after letters.
 MARKS = frozenset(".,!?;:|")
 #: White space to Python but not to the tokenizer; a text with any of these is encoded in one go, as is one with a special token written out.
-ODD_SPACE = re.compile("[\x1c-\x1f]")
+ODD_SPACE = "\x1c\x1d\x1e\x1f"
 #: Characters that lower-case and compose one by one, whatever stands beside them.
 PLAIN = re.compile("[\x00-įı-ǯǱ-˿]*")
+#: Characters of texts that are encoded together, unless one text has more, and pieces of them that are looked up together.
+GROUP_CHARS, GROUP_PIECES = 1 << 18, 100_000
+
+
+def _pieces() -> tuple[re.Pattern, re.Pattern]:
+    """The tokenizer's own split of lower-cased text, for plain characters that stay plain; and any other character but white space."""
+    plain = [c for c in map(chr, range(0x300)) if PLAIN.fullmatch(c) and PLAIN.fullmatch(c.lower()) and c not in ODD_SPACE]
+    of = lambda some: "[" + re.escape("".join(some)) + "]"
+    letters, numbers = ([c for c in plain if unicodedata.category(c)[0] == kind] for kind in "LN")
+    others = [c for c in plain if not c.isspace() and unicodedata.category(c)[0] not in "LN"]
+    return re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|{of(letters)}+|{of(numbers)}|{of(others)}+"), re.compile(rf"[^\s{of(plain)[1:]}")
+
+
+PIECE, BEYOND = _pieces()
+NO_SPACE = re.compile(r"\S*")
 
 
 class WordEncoder:
-    """Encodes texts with a tokenizer whose tokens never cross white space, word by word, with a bounded store of words.
+    """Encodes texts with a tokenizer whose tokens never cross white space, piece by piece, with a bounded store of pieces.
 
-    The tokenizer composes, lower-cases and splits at white space before anything else, so a text's ids are those of its
-    words in turn; a word seen lately is not encoded again. Ids are held as little-endian 32-bit bytes. Words of letters
+    The tokenizer composes, lower-cases and splits before anything else, so a text's ids are those of its pieces in turn; one
+    seen lately is not encoded again. A piece is what the tokenizer splits off, or, with a character that may lower-case or compose otherwise than
+    plain ones, a whole word. Ids are held as little-endian 32-bit bytes. Words of letters
     end in exactly one word-end token, so many are encoded in one call and cut apart there.
     """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.bare = Tokenizer(self.tokenizer.model)  # the same merges, for pieces
+        self.bare.pre_tokenizer = WhitespaceSplit()
         # a special token written out in a text is that token, wherever it stands: such texts are encoded in one go
         marks = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, marks)) or r"(?!)", re.IGNORECASE)
@@ -71,59 +90,100 @@ class WordEncoder:
         out = []
         for at in range(0, len(words), 512):
             part = words[at : at + 512]
-            ids = np.asarray(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            # ASCII pieces are lower-case and split already
+            tokenizer = self.bare if all(map(str.isascii, part)) else self.tokenizer
+            ids = np.asarray(tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
             stops = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
             raw = ids.tobytes()
             out += [raw[a:b] for a, b in zip([0, *stops], stops)] if len(stops) == len(part) else self._ids(part)
         return out
 
     def learn(self, words: set[str]) -> None:
-        """Store the ids of words: of letters and one mark after them, encoded apart, where that is the same."""
+        """Store the ids of pieces; words of letters beyond plain ones without the mark after them, where that is the same."""
         if len(self.known) + len(words) > CACHE_WORDS:
             self.older, self.known = self.known, {}
         known, older, forms = self.known, self.older, []
-        letters, others = set(), set()
+        letters, beyond, others = [], set(), set(MARKS.difference(known))
         for w in words:
             if w in older:
                 known[w] = older[w]
-                continue
-            plain = w.lower() if PLAIN.fullmatch(w) else w
-            stem, mark = plain, ""
-            if plain[-1] in MARKS and "'" not in plain:
-                stem, mark = plain[:-1], plain[-1]
-            if not stem.isalpha():
-                stem, mark = plain, ""
-                others.add(stem)
-            elif stem in older:
-                known[stem] = older[stem]
-            elif stem not in known:
-                letters.add(stem)
-            forms.append((w, stem, mark))
-        for need, how in ((letters, self._letters), (others.union(MARKS).difference(known), self._ids)):
-            need = list(need)
+            elif w.isascii():
+                if w.isalpha():
+                    letters.append(w)
+                else:
+                    others.add(w)
+            else:
+                stem, mark = w, ""
+                if w[-1] in MARKS and "'" not in w:
+                    stem, mark = w[:-1], w[-1]
+                # some letters lower-case or compose to letters and marks, which run into the mark after them
+                if not (stem.isalpha() and unicodedata.normalize("NFC", stem).lower().isalpha()):
+                    others.add(w)
+                    continue
+                if stem in older:
+                    known[stem] = older[stem]
+                elif stem not in known:
+                    beyond.add(stem)
+                if mark:
+                    forms.append((w, stem, mark))
+        for need, how in ((letters, self._letters), (list(beyond), self._letters), (list(others), self._ids)):
             known.update(zip(need, how(need)))
         for w, stem, mark in forms:
-            known[w] = known[stem] + known[mark] if mark else known[stem]
+            known[w] = known[stem] + known[mark]
+
+    @staticmethod
+    def split(text: str) -> list[str]:
+        """The pieces of a text, in order."""
+        out, at = [], 0
+        while beyond := BEYOND.search(text, at):
+            head = text[at : beyond.start()]
+            if head and not head[-1].isspace():  # the word begins before this character
+                head = head[: len(head) - len(head.rsplit(None, 1)[-1])]
+            if head:
+                out += PIECE.findall(head.lower())
+            words = NO_SPACE.match(text, beyond.start()).end()
+            out.append(text[at + len(head) : words])
+            at = words
+        last = PIECE.findall(text[at:].lower())
+        return out + last if out else last
+
+    def known_ids(self, part: list[str]) -> list[bytes]:
+        """The ids of each piece, those not in store learned."""
+        ids = list(map(self.known.get, part))
+        if need := [k for k, found in enumerate(ids) if found is None]:
+            new = {part[k] for k in need}
+            own = {}
+            if long := [w for w in new if len(w) > LONGEST_WORD]:
+                own = dict(zip(long, self._ids(long)))
+                new.difference_update(long)
+            self.learn(new)
+            for k in need:
+                ids[k] = own[part[k]] if part[k] in own else self.known[part[k]]
+        return ids
+
+    def _group(self, texts: list[str]) -> Iterator[bytes]:
+        whole = [any(c in t for c in ODD_SPACE) or bool(self.special.search(t)) for t in texts]
+        found, ends = [], [0]
+        for text, odd in zip(texts, whole):
+            if not odd:
+                found += self.split(text)
+            ends.append(len(found))
+        ids: list[bytes] = []
+        for at in range(0, len(found), GROUP_PIECES):
+            ids += self.known_ids(found[at : at + GROUP_PIECES])
+        for text, odd, a, b in zip(texts, whole, ends, ends[1:]):
+            yield self._ids([text])[0] if odd else b"".join(ids[a:b])
 
     def encode_all(self, texts: Iterable[str]) -> Iterator[bytes]:
         """The ids of each text, in order."""
+        group, size = [], 0
         for text in texts:
-            if ODD_SPACE.search(text) or self.special.search(text):
-                yield self._ids([text])[0]
-                continue
-            words, out = iter(text.split()), []
-            while part := list(islice(words, 100_000)):
-                new = set(part).difference(self.known)
-                own: dict[str, bytes] = {}
-                if new:
-                    if long := [w for w in new if len(w) > LONGEST_WORD]:
-                        own = dict(zip(long, self._ids(long)))
-                        new.difference_update(long)
-                    if len(self.known) + len(new) > CACHE_WORDS:
-                        new = set(part).difference(own)
-                    self.learn(new)
-                out += [own[w] if w in own else self.known[w] for w in part] if own else map(self.known.__getitem__, part)
-            yield b"".join(out)
+            if group and size + len(text) > GROUP_CHARS:
+                yield from self._group(group)
+                group, size = [], 0
+            group.append(text)
+            size += len(text)
+        yield from self._group(group)
 
     def encode(self, text: str) -> bytes:
         return next(self.encode_all([text]))

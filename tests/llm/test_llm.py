@@ -522,6 +522,23 @@ def test_word_encoder_and_packing(spark, corpus):
     assert packing.pack(frame(spark, []), path).count() == 0
 
 
+def test_texts_are_split_as_the_tokenizer_splits_them():
+    """Ids come from the tokenizer's own pieces, so a word beside marks or digits is encoded once; with characters of every kind beside each other."""
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    plain, encoder, rng = Tokenizer.from_file(path), packing.WordEncoder(path), random.Random(33)
+    texts = [f"{a}{c}{b}" for c in map(chr, [*range(0x380), 0x0958, 0x2C65, 0x3000, 0xAC00]) for a, b in (("", ""), ("a", "B"), ("'", "s"), ("!'", "'ll,"), (" X", "1. "))]
+    kinds = list("abcXYZ'  \n\t.,!?;:|0123'stvemld\"-_é ßÀŻǅǰİıΣσ\u0301 \u0085²½ªʰ日本ПрȺ\u00a0\u2028\u3000\x1c\ufeff\u200b") + ["क\u093c", "\u0958,"]
+    texts += ["".join(rng.choices(kinds, k=rng.randrange(60))) for _ in range(3000)]
+    want = [np.asarray(e.ids, "<u4").tobytes() for e in plain.encode_batch(texts, add_special_tokens=False)]
+    assert [t for t, got, ids in zip(texts, encoder.encode_all(texts), want) if got != ids] == []
+    calls, ids = [], encoder._ids
+    encoder._ids, encoder._letters = (lambda words: calls.append(words) or ids(words)), (lambda words, own=encoder._letters: calls.append(words) or own(words))
+    encoder.encode("zyzzyx (zyzzyx) zyzzyx1 -zyzzyx- 'Zyzzyx'")
+    assert sum(words.count("zyzzyx") for words in calls) == 1 and not any(w != "zyzzyx" and "zyzzyx" in w.lower() for words in calls for w in words)
+
+
 def test_best_fit_takes_the_fullest_that_fits_and_closes_the_fullest():
     bins = packing.BestFit(10, 2)
     assert [bins.place(n) for n in (6, 7, 3, 4, 8, 9)] == [(0, 0), (1, 0), (1, 7), (0, 6), (2, 0), (3, 0)]
