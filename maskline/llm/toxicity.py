@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,6 +54,40 @@ def term_counts(text: str | None, among: dict[str, int] | None = None) -> dict:
     return {among[w]: n for w, n in Counter(words).items() if w in among}
 
 
+#: Bytes of ASCII text to their lower case, or a space where no term goes on; and characters of texts that are looked up together.
+FOLD = bytes(ord(chr(b).lower()) if b < 128 and WORD.match(chr(b)) else 32 for b in range(256))
+LOOK_UP = 1 << 23
+
+
+def spaced(text: str | None) -> bytes:
+    """A text's terms with spaces between them."""
+    if not text or text.isascii():
+        return (text or "").encode().translate(FOLD)
+    return " ".join(WORD.findall(text.lower())).encode()
+
+
+def coded(texts: list[str | None], names: pa.Array) -> Iterator[np.ndarray]:
+    """Each text's terms among names as an array of (place in names, count) in order of places; many texts are looked up together."""
+    at = 0
+    while at < len(texts):
+        end, size = at, 0
+        while end < len(texts) and (end == at or size + len(texts[end] or "") <= LOOK_UP):
+            size += len(texts[end] or "")
+            end += 1
+        some, at = texts[at:end], end
+        terms = [spaced(t) for t in some]
+        ends = np.cumsum([0, *map(len, terms)]).astype(np.int32)
+        words = pc.ascii_split_whitespace(pa.StringArray.from_buffers(len(terms), pa.py_buffer(ends), pa.py_buffer(b"".join(terms))))
+        number = pc.fill_null(pc.index_in(words.flatten(), value_set=names), -1).to_numpy()
+        owner = np.repeat(np.arange(len(terms)), words.value_lengths().to_numpy())
+        m = max(len(names), 1)
+        pairs, times = np.unique((owner * m + number)[number >= 0], return_counts=True)
+        both = np.stack([pairs % m, times], axis=1)
+        edges = np.searchsorted(pairs, np.arange(len(terms) + 1) * m)
+        for a, b in zip(edges.tolist(), edges[1:].tolist()):
+            yield both[a:b]
+
+
 class Index:
     """Examples by place and by term; ids, labels and vectors are small and bounded. A vector is {term: count} or an array of such pairs."""
 
@@ -92,9 +127,14 @@ class Index:
 
     def unit_arrays(self, counts) -> tuple[np.ndarray, np.ndarray]:
         """Terms in order, and their weights in a vector of length 1."""
-        pairs = np.array(sorted(counts.items()), np.int64) if isinstance(counts, dict) else counts
-        raw = (1 + np.log(pairs[:, 1])) * self.idf[pairs[:, 0]]
-        return pairs[:, 0], raw / np.sqrt((raw * raw).sum())
+        if isinstance(counts, dict):
+            terms, times = np.fromiter(counts, np.int64, len(counts)), np.fromiter(counts.values(), np.int64, len(counts))
+            order = np.argsort(terms)
+            terms, times = terms[order], times[order]
+        else:
+            terms, times = counts[:, 0], counts[:, 1]
+        raw = (1 + np.log(times)) * self.idf[terms]
+        return terms, raw / np.sqrt((raw * raw).sum())
 
     def unit(self, counts: dict[int, int]) -> dict[int, float]:
         return dict(zip(*(x.tolist() for x in self.unit_arrays(counts)))) if counts else {}
@@ -180,13 +220,13 @@ class Index:
         if beta[0] > 0:
             self.slope, self.shift = float(beta[0]), float(beta[1])
 
-    def scores(self, counts: list[dict[int, int]]) -> Iterator[tuple[float, list[tuple[float, int]]]]:
+    def scores(self, counts: list) -> Iterator[tuple[float, list[tuple[float, int]]]]:
         """The score of each text (its counts), and its neighbours."""
         for at in range(0, len(counts), GROUP):
             some = counts[at : at + GROUP]
-            found = iter(self.nearest_of([self.unit_arrays(c) for c in some if c]))
+            found = iter(self.nearest_of([self.unit_arrays(c) for c in some if len(c)]))
             for c in some:
-                near = next(found) if c else []
+                near = next(found) if len(c) else []
                 yield (self.calibrated(self.vote(near)) if near else float(self.no_term)), near
 
 
@@ -213,12 +253,11 @@ def document_frequencies(docs: DataFrame, text: str, vocabulary: dict[str, int])
     m = len(vocabulary)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(m + 1, np.int64)
+        seen, names = np.zeros(m + 1, np.int64), pa.array(sorted(vocabulary, key=vocabulary.get), pa.string())
         for batch in batches:
             seen[m] += batch.num_rows
-            for value in batch.column(0):
-                own = vocabulary.keys() & set(WORD.findall((value.as_py() or "").lower()))
-                seen[[vocabulary[t] for t in own]] += 1
+            for counts in coded(batch.column(0).to_pylist(), names):
+                seen[counts[:, 0]] += 1
         some = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(seen[some])], names=["term", "n"])
 
@@ -282,6 +321,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str
     vocabulary, ratio, index = fit(examples(docs, labels, work, text, doc_id, most, pairs), docs, text)
     names = list(vocabulary)
     by_number = {vocabulary[t]: t for t in names}
+    strong = set(np.flatnonzero(ratio > MIN_RATIO).tolist())
     work.close()
     index.ready = False
     for made in ("places", "by_term", "start", "row", "lists", "most", "dense"):
@@ -289,12 +329,13 @@ def toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str
     near = pa.list_(pa.struct([("id", pa.int64()), ("cosine", pa.float64()), ("label", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        in_order = pa.array(sorted(vocabulary, key=vocabulary.get), pa.string())
         for batch in batches:
             scores, terms, places, cosines, sizes = [], [], [], [], []
-            texts = [term_counts(value.as_py(), vocabulary) for value in batch.column(2)]
+            texts = list(coded(batch.column(2).to_pylist(), in_order))
             for counts, (score, found) in zip(texts, index.scores(texts)):
                 scores.append(min(1.0, max(0.0, score)))
-                telling = [t for t in counts if ratio[t] > MIN_RATIO]
+                telling = strong.intersection(counts[:, 0].tolist())
                 terms.append([by_number[t] for t in sorted(telling, key=lambda t: (-ratio[t], t))[:K]])
                 sizes.append(len(found))
                 cosines += [s for s, _ in found]

@@ -421,6 +421,24 @@ def test_toxicity_finds_the_example_that_is_alike_without_telling_terms(spark):
         assert got[1000 + i]["neighbours"][0]["id"] == i and got[1000 + i]["neighbours"][0]["cosine"] > 0.999
 
 
+def test_terms_are_looked_up_together(monkeypatch):
+    """Texts never go through a dictionary word by word; counts equal those of single texts, in any grouping."""
+    rng = random.Random(34)
+    texts = [None, "", " ", "A_b x1 a. B-a zz", "\x00\x1c\x7fa\tb\x0bc", "É a É İ ǅ ª²", "日本 a", *("".join(rng.choices("abAB_1 .\n-\x1dé", k=rng.randrange(40))) for _ in range(300))]
+    some = sorted({w for t in texts[::2] for w in toxicity.term_counts(t)} | {"a", "é"})
+    known, names = {w: k for k, w in enumerate(some)}, pa.array(some)
+    want = [sorted(toxicity.term_counts(t, known).items()) for t in texts]
+    for together in (1, 100, 1 << 22):
+        monkeypatch.setattr(toxicity, "LOOK_UP", together)
+        assert [list(map(tuple, c.tolist())) for c in toxicity.coded(texts, names)] == want
+    assert [len(c) for c in toxicity.coded(["a b", "é"], pa.array([], pa.string()))] == [0, 0] and list(toxicity.coded([], names)) == []
+    monkeypatch.setattr(toxicity, "term_counts", None)
+    assert [c.tolist() for c in toxicity.coded(["a A é", None], names)] == [[[known["a"], 2], [known["é"], 1]], []]
+    index = toxicity.Index([{0: 1, 7: 2}, {3: 1}], np.array([0, 1]), np.arange(2), np.arange(1.0, 9.0))
+    for a, b in zip(index.unit_arrays({7: 2, 0: 4, 3: 1}), index.unit_arrays(np.array([[0, 4], [3, 1], [7, 2]]))):
+        assert a.tolist() == b.tolist()
+
+
 def test_search_over_many_terms_is_exact():
     rng = np.random.default_rng(2)
     idf = rng.random(400) * 6 + 1
